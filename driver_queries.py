@@ -51,7 +51,7 @@ DOCUMENTS_PER_BLOCK = 400
 
 def _blocks(spark: SparkSession, sf_dir: str, counts: DataFrame) -> DataFrame:
     """Posting blocks by a block number that SQL can compute as well."""
-    n_blocks = textindex.block_count(given.documents(spark, sf_dir), DOCUMENTS_PER_BLOCK)
+    n_blocks = textindex.block_count(given.table(spark, sf_dir, "documents"), DOCUMENTS_PER_BLOCK)
     return textindex.posting_blocks(counts, block=F.pmod(F.col("doc_id"), F.lit(n_blocks)))
 
 
@@ -325,13 +325,13 @@ def url_normalize(spark, sf_dir):
         url, F.split_part(url, F.lit(":"), F.lit(2)), F.concat(url, F.lit("//")),
         F.concat(url, F.lit(";p=1#f")), F.lit(""),
     )
-    rows = given.pages(spark, sf_dir).select("page_id", F.explode(variants).alias("url"))
+    rows = given.table(spark, sf_dir, "pages").select("page_id", F.explode(variants).alias("url"))
     return rows.withColumn("normalized", urls.normalize(F.col("url")))
 
 
 @compared(f"WITH {PAGE_URL_SQL} SELECT page_id, url, host AS netloc FROM u")
 def url_netloc(spark, sf_dir):
-    return given.pages(spark, sf_dir).select("page_id", "url", urls.netloc(F.col("url")).alias("netloc"))
+    return given.table(spark, sf_dir, "pages").select("page_id", "url", urls.netloc(F.col("url")).alias("netloc"))
 
 
 @compared("""SELECT page_id, unnest(['absolute', 'rooted', 'network', 'plain', 'plus']) AS form,
@@ -348,7 +348,7 @@ def url_unwrap_redirect(spark, sf_dir):
         "plus": F.concat(wrapped, F.lit("+%zz&rut=1")),
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("form"), v.alias("link")) for k, v in forms.items()])
-    rows = given.pages(spark, sf_dir).select("page_id", F.inline(pairs))
+    rows = given.table(spark, sf_dir, "pages").select("page_id", F.inline(pairs))
     return rows.select("page_id", "form", urls.unwrap_redirect(F.col("link")).alias("target"))
 
 
@@ -377,7 +377,7 @@ def links_resolve(spark, sf_dir):
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("form"), v.alias("link")) for k, v in forms.items()])
     found = links.anchors(given.pages(spark, sf_dir)).join(
-        given.pages(spark, sf_dir).select("page_id", F.col("url").alias("page_url")), "page_id"
+        given.table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url")), "page_id"
     )
     rows = found.select("page_id", "page_url", "pos", F.inline(pairs))
     return rows.select(

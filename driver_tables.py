@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from searchloom.functions import html
+from searchloom.storage import spread_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,11 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def pages(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    return spread_out(table(spark, sf_dir, "pages"))
 
 
 def page_lists(spark, sf_dir) -> DataFrame:
@@ -97,4 +98,4 @@ def page_edges(spark, sf_dir, first_link_weight: int = 1) -> DataFrame:
 
 
 def seed_page(spark, sf_dir) -> DataFrame:
-    return pages(spark, sf_dir).where(F.col("page_id") == 0).select("url")
+    return table(spark, sf_dir, "pages").where(F.col("page_id") == 0).select("url")

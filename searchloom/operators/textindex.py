@@ -25,8 +25,9 @@ def tokenize(docs: DataFrame) -> DataFrame:
 
 def bigrams(docs: DataFrame) -> DataFrame:
     """``(doc_id, pos, term)`` for each pair of neighbouring words."""
-    pairs = words_of.neighbour_pairs(words_of.words(F.col("text")))
-    return docs.select("doc_id", F.posexplode(pairs).alias("pos", "term"))
+    words = docs.select("doc_id", words_of.words(F.col("text")).alias("words"))
+    pairs = words.select("doc_id", F.posexplode(words_of.neighbour_pairs(F.col("words"))).alias("pos", "pair"))
+    return pairs.select("doc_id", "pos", F.concat_ws(" ", "pair.first", "pair.second").alias("term"))
 
 
 def phrase_occurrences(

@@ -40,3 +40,13 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_out(table: DataFrame) -> DataFrame:
+    """Deal the rows of a small stored table out to all cores, for heavy work per row.
+
+    A table that is read in at least as many splits as there are cores (any large
+    one) is returned as it is, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
