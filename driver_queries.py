@@ -265,11 +265,12 @@ def serp_rank(spark, sf_dir):
 
 @compared(f"""WITH {LINKS_SQL}, seen AS (
   SELECT page_id, {NORM_HREF_SQL} AS url, min(pos) AS pos FROM links GROUP BY ALL)
-SELECT page_id AS query, CAST(count(*) AS INTEGER) AS n_urls, string_agg(url, ' ' ORDER BY pos) AS urls
-FROM seen WHERE url <> '' GROUP BY page_id""")
+SELECT p.page_id AS query, CAST(count(s.url) AS INTEGER) AS n_urls,
+  coalesce(string_agg(s.url, ' ' ORDER BY pos), '') AS urls
+FROM pages p LEFT JOIN seen s ON s.page_id = p.page_id AND s.url <> '' GROUP BY p.page_id""")
 def serp_first_seen_dedup(spark, sf_dir):
     lists = ranking.distinct_lists(given.page_lists(spark, sf_dir))
-    return lists.where(F.size("urls") > 0).select(
+    return lists.select(
         "query", F.size("urls").alias("n_urls"), F.array_join("urls", " ").alias("urls")
     )
 
@@ -409,10 +410,9 @@ def links_validate(spark, sf_dir):
 
 
 @compared(f"""WITH {LINKS_SQL}
-SELECT page_id, page_url AS url, CAST(count(DISTINCT href) AS INTEGER) AS out_links
-FROM links GROUP BY page_id, page_url""")
+SELECT page_id, page_url AS url, CAST(len(list_distinct(h)) AS INTEGER) AS out_links FROM hrefs""")
 def page_outlinks(spark, sf_dir):
-    linked = links.page_links(given.pages(spark, sf_dir)).where(F.size("links") > 0)
+    linked = links.page_links(given.pages(spark, sf_dir))
     return linked.select("page_id", "url", links.distinct_links().alias("out_links"))
 
 
@@ -531,7 +531,7 @@ UNIQUES_SQL = """count(DISTINCT url) AS n_unique,
 @compared(f"WITH {LINKS_SQL}, x AS (SELECT origin || href AS url FROM links) SELECT {UNIQUES_SQL} FROM x")
 def url_uniques(spark, sf_dir):
     linked = links.page_links(given.pages(spark, sf_dir))
-    return crawl_stats.url_uniques(linked.select(F.explode("links").alias("url")), "example.com")
+    return crawl_stats.url_uniques(links.exploded_links(linked).withColumnRenamed("link", "url"), "example.com")
 
 
 @compared(f"""WITH {RESPONSES_SQL}, uniques AS (SELECT {UNIQUES_SQL} FROM url_rows),
@@ -626,7 +626,7 @@ def vec_ingest(spark, sf_dir):
 @compared(_slots_sql("documents", "doc_id", "text", 128))
 def vec_embed(spark, sf_dir):
     vectors_of = rag.embedded(given.documents(spark, sf_dir), models.hashed_terms(128))
-    slots = vectors_of.select("doc_id", F.posexplode("vector").alias("slot", "weight"))
+    slots = vectors_of.select("doc_id", F.posexplode_outer("vector").alias("slot", "weight"))
     return slots.where(F.col("weight") != 0).select(
         "doc_id", F.col("slot").cast("bigint").alias("slot"), F.col("weight").cast("bigint").alias("weight")
     )

@@ -94,9 +94,19 @@ def visit_log(linked: DataFrame) -> DataFrame:
     )
 
 
+def exploded_links(linked: DataFrame, *columns: Column | str) -> DataFrame:
+    """A row per link, with ``columns`` of its page.
+
+    The outer form keeps Catalyst from adding a test for empty arrays to the scan,
+    for which the HTML would be read a second time.
+    """
+    rows = linked.select(*columns, F.explode_outer("links").alias("link"))
+    return rows.where(F.col("link").isNotNull())
+
+
 def url_log(linked: DataFrame, seed_netloc: str) -> DataFrame:
     """``(url, valid)``, a row per link occurrence on fetched HTML pages."""
-    found = _visited(linked).where("is_html").select(F.explode("links").alias("url"))
+    found = exploded_links(_visited(linked).where("is_html")).withColumnRenamed("link", "url")
     return found.withColumn("valid", validity(F.col("url"), seed_netloc))
 
 
@@ -107,4 +117,5 @@ def linked_responses(responses: DataFrame) -> DataFrame:
 
 def link_edges(linked: DataFrame) -> DataFrame:
     """Distinct ``(src, dst)`` of the page graph."""
-    return linked.select(F.col("url").alias("src"), F.explode("links").alias("dst")).distinct()
+    found = exploded_links(linked, F.col("url").alias("src"))
+    return found.withColumnRenamed("link", "dst").distinct()

@@ -18,7 +18,8 @@ from searchloom.functions import urls
 
 def list_rows(lists: DataFrame) -> DataFrame:
     """``(query, urls)`` to ``(query, rank, url)``, ranks from 0."""
-    return lists.select("query", F.posexplode("urls").alias("rank", "url"))
+    rows = lists.select("query", F.posexplode_outer("urls").alias("rank", "url"))
+    return rows.where(F.col("rank").isNotNull())
 
 
 def normalized(rows: DataFrame) -> DataFrame:
