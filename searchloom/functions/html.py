@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 _TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 # One pass over the page; only the opening <a ...> alternative fills group 2.
 _MARKUP = (
-    r"(?is)<!--.*?-->"
-    r"|<(script|style)\b.*?</\1\s*>"
-    r"|<a(?=[\s/>])(" + _TAG_REST + ")>"
-    r"|<[a-z/!?]" + _TAG_REST + ">"
+    r"(?is)<(?:!--.*?-->"
+    r"|(script|style)\b.*?</\1\s*>"
+    r"|a(?=[\s/>])(" + _TAG_REST + ")>"
+    r"|[a-z/!?]" + _TAG_REST + ">)"
 )
 _ATTRIBUTE = r"""[^\s=/>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?"""
 _HREF = (

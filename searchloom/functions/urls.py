@@ -15,6 +15,14 @@ from searchloom import fixed_values as fixed
 
 # scheme, netloc, path, query, fragment (the generic URI pattern of RFC 3986)
 _SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
+# the same in one match for addresses without ";": host without "www.", path without
+# closing slashes, query
+_SHORT_FORM = (
+    r"(?s)\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://(?:www\.)?([^/?#]*))?([^?#]*?)/*(\?[^#]+)?\??(?:#.*)?\z"
+)
+# links that need no splitting: plain addresses, and plain paths from the root
+_PLAIN_ADDRESS = r"\Ahttps?://[^/\x00-\x20?#;][^\x00-\x20?#;]*(?:\?[^\x00-\x20#]+)?\z"
+_PLAIN_PATH = r"\A/(?!/)[^\x00-\x20?#;]*(?:\?[^\x00-\x20#]+)?\z"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -65,14 +73,19 @@ def normalize(url: Column) -> Column:
     Scheme, ``;params`` and fragment go; letter case stays; null gives ``''``.
     """
 
-    def short_form(u: Column) -> Column:
+    def split_form(u: Column) -> Column:
         return F.concat(
             F.regexp_replace(u["netloc"], r"\Awww\.", ""),
             F.rtrim(u["path"], F.lit("/")),
             F.when(u["query"] != "", F.concat(F.lit("?"), u["query"])).otherwise(""),
         )
 
-    return F.coalesce(_let(split_url(url), short_form), F.lit(""))
+    def short_form(text: Column) -> Column:
+        return F.when(text.contains(";"), _let(split_url(text), split_form)).otherwise(
+            F.regexp_replace(text, _SHORT_FORM, "$1$2$3")
+        )
+
+    return F.coalesce(_let(clean(url), short_form), F.lit(""))
 
 
 def percent_decode(text: Column) -> Column:
@@ -198,9 +211,20 @@ def resolve_parts(base_url: Column, base: Column, href: Column) -> Column:
             _let(chosen, lambda u: _joined(u, link["fragment"]))
         )
 
+    origin = F.concat(
+        F.when(base["scheme"] != "", F.concat(base["scheme"], F.lit(":"))).otherwise(""),
+        F.lit("//"), base["netloc"],
+    )
+    from_root = (
+        (base["netloc"] != "")
+        & base["scheme"].isin(*fixed.SCHEMES_WITH_RELATIVE_LINKS)
+        & href.rlike(_PLAIN_PATH)
+        & ~href.contains("/.")
+    )
     return (
-        F.when(F.coalesce(base_url, F.lit("")) == "", href)
+        F.when((F.coalesce(base_url, F.lit("")) == "") | href.rlike(_PLAIN_ADDRESS), href)
         .when(href == "", base_url)
+        .when(from_root, F.concat(origin, href))
         .otherwise(_let(split_url(href), against_page))
     )
 
@@ -208,13 +232,15 @@ def resolve_parts(base_url: Column, base: Column, href: Column) -> Column:
 def is_valid_link(url: Column, seed_netloc: str) -> Column:
     """Worth crawling: host ends with the seed's, no ``/tel:``, no excluded extension."""
 
-    def crawlable(u: Column) -> Column:
-        extension = F.substring_index(F.lower(u["path"]), ".", -1)
-        return (
-            (u["netloc"] != "")
-            & u["netloc"].endswith(seed_netloc)
-            & ~u["path"].contains("/tel:")
-            & ~extension.isin(*fixed.EXCLUDED_EXTENSIONS)
+    def good_path(path: Column) -> Column:
+        extension = F.substring_index(F.lower(path), ".", -1)
+        return ~path.contains("/tel:") & ~extension.isin(*fixed.EXCLUDED_EXTENSIONS)
+
+    def crawlable(text: Column) -> Column:
+        host = F.regexp_extract(text, _SPLIT, 2)
+        path = F.when(text.contains(";"), split_url(text)["path"]).otherwise(
+            F.regexp_extract(text, _SPLIT, 3)
         )
+        return _let(host, lambda h: (h != "") & h.endswith(seed_netloc)) & _let(path, good_path)
 
-    return F.coalesce(_let(split_url(url), crawlable), F.lit(False))
+    return F.coalesce(_let(clean(url), crawlable), F.lit(False))

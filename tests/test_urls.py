@@ -78,7 +78,7 @@ def test_unwrap_redirect(spark):
 
 
 PIECES = st.sampled_from(
-    ["http", "https", "ftp", "mailto", "tel", ":", "/", "//", "?", "#", ";", ".", "..", "./", "../",
+    ["http", "https", "http://", "https://s.com/", "/a", "/b/", "ftp", "mailto", "tel", ":", "/", "//", "?", "#", ";", ".", "..", "./", "../",
      "a", "b.c", "www.", "www.s.com", "x y", "%20", "=", "&", "é", "index.html", "|", "\t", "+", "-"]
 )
 URLS = st.lists(PIECES, max_size=9).map("".join)
@@ -91,7 +91,7 @@ def safe(function, *args):
         return None
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(URLS, URLS), min_size=300, max_size=300))
 def test_columns_agree_with_the_standard_library(spark, pairs):
     df = spark.createDataFrame(
