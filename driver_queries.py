@@ -567,6 +567,19 @@ nearest AS (SELECT url, min(depth) AS depth FROM reached GROUP BY url)
 SELECT url, depth FROM nearest ORDER BY depth, url LIMIT {pages}"""
 
 
+@compared(f"""WITH {RESPONSES_SQL}, targets AS (
+  SELECT DISTINCT url FROM url_log WHERE valid = 'OK' AND url NOT IN (SELECT url FROM pages))
+SELECT 'fetch' AS log, url, status AS entry FROM responses UNION ALL SELECT 'fetch', url, 'FAILED' FROM targets
+UNION ALL SELECT 'visit', url, size || ' ' || out_links || ' ' || content_type FROM visits
+UNION ALL SELECT 'urls', url, valid FROM url_log""")
+def crawl_replay(spark, sf_dir):
+    logs = jobs.replay_crawl(
+        given.responses(spark, sf_dir), given.table(spark, sf_dir, "pages").select("url"), "example.com",
+        max_pages=10**9,
+    )
+    return _long(logs.fetch, logs.visit, logs.urls)
+
+
 @compared(_reach_sql(1, 6, 20000))
 def bfs_reach(spark, sf_dir):
     return reach.reach(

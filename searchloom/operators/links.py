@@ -115,6 +115,23 @@ def linked_responses(responses: DataFrame) -> DataFrame:
     return page_links(responses.withColumn("size", F.octet_length("html")))
 
 
+def crawl_edges(linked: DataFrame, seed_netloc: str) -> DataFrame:
+    """What a crawler follows: ``(src, dst, weight)``.
+
+    Valid links of fetched HTML pages weigh 1. If there is a ``location`` column,
+    valid targets of redirects weigh 0, as they are crawled at the depth of their source.
+    """
+    pages = _visited(linked).where("is_html")
+    edges = exploded_links(pages, F.col("url").alias("src")).withColumnRenamed("link", "dst")
+    edges = edges.withColumn("weight", F.lit(1))
+    if "location" in linked.columns:
+        redirects = linked.where(outcome(F.col("status")) == "redirect").select(
+            F.col("url").alias("src"), F.col("location").alias("dst"), F.lit(0).alias("weight")
+        )
+        edges = edges.unionByName(redirects)
+    return edges.distinct().where(urls.is_valid_link(F.col("dst"), seed_netloc))
+
+
 def link_edges(linked: DataFrame) -> DataFrame:
     """Distinct ``(src, dst)`` of the page graph."""
     found = exploded_links(linked, F.col("url").alias("src"))

@@ -59,6 +59,36 @@ def test_logs_as_csv(spark, logs, tmp_path):
     assert rows(csv_logs.read_log(spark, "fetch", str(plain))) == [('https://x/""c', "FAILED"), ("https://x/a,b", "200")]
 
 
+SITE = {
+    "https://s.com/": ("200", "text/html", '<a href="/a">a</a><a href="b.html">b</a><a href="/x.css">x</a>', None),
+    "https://s.com/a": ("301", None, "", "https://s.com/c"),
+    "https://s.com/b.html": ("200", "text/html", '<a href="/">home</a><a href="/d">d</a>', None),
+    "https://s.com/c": ("200", "text/html", '<a href="https://o.org/">o</a><a href="/e">e</a>', None),
+    "https://s.com/e": ("200", "application/pdf", "pdf", None),
+    "https://s.com/far": ("200", "text/html", "", None),
+}
+
+
+@pytest.mark.parametrize("depth, expected", [
+    (0, {"https://s.com/": "200"}),
+    (1, {"https://s.com/": "200", "https://s.com/a": "301", "https://s.com/b.html": "200", "https://s.com/c": "200"}),
+    (2, {"https://s.com/": "200", "https://s.com/a": "301", "https://s.com/b.html": "200", "https://s.com/c": "200",
+         "https://s.com/d": "FAILED", "https://s.com/e": "200"}),
+])
+def test_replay_follows_links_and_redirects(spark, depth, expected):
+    rows_of = [(i, url, *site) for i, (url, site) in enumerate(SITE.items())]
+    responses = spark.createDataFrame(
+        rows_of, "page_id int, url string, status string, content_type string, html string, location string"
+    )
+    seeds = spark.createDataFrame([("https://s.com/",)], "url string")
+    logs = jobs.replay_crawl(responses, seeds, "s.com", max_depth=depth)
+    assert dict(rows(logs.fetch)) == expected
+    assert {r.url for r in logs.visit.collect()} == {
+        u for u, status in expected.items() if status == "200"
+    }
+    assert logs.urls.count() == {0: 3, 1: 7, 2: 7}[depth]
+
+
 def fetches(spark, statuses):
     return spark.createDataFrame([(f"u{i}", s) for i, s in enumerate(statuses)], csv_logs.FETCH_LOG)
 
