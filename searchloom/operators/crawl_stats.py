@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from searchloom import fixed_values as fixed
 from searchloom.functions import urls
 from searchloom.operators.links import outcome
+from searchloom.storage import written
 
 
 def status_histogram(fetches: DataFrame) -> DataFrame:
@@ -20,12 +21,15 @@ def status_histogram(fetches: DataFrame) -> DataFrame:
 
 
 def fetch_counts(fetches: DataFrame) -> DataFrame:
-    """Attempted, succeeded (2xx) and failed fetches, from the status histogram."""
+    """Attempted, succeeded (2xx) and failed fetches."""
+    return _fetch_counts(status_histogram(fetches))
+
+
+def _fetch_counts(statuses: DataFrame) -> DataFrame:
     succeeded = F.coalesce(F.sum(F.when(F.col("status").startswith("2"), F.col("n"))), F.lit(0))
     attempted = F.coalesce(F.sum("n"), F.lit(0))
     return (
-        status_histogram(fetches)
-        .agg(attempted.alias("attempted"), succeeded.alias("succeeded"))
+        statuses.agg(attempted.alias("attempted"), succeeded.alias("succeeded"))
         .withColumn("failed", F.col("attempted") - F.col("succeeded"))
     )
 
@@ -68,18 +72,29 @@ def _visit_summary(visits: DataFrame) -> DataFrame:
 
 def size_histogram(visits: DataFrame) -> DataFrame:
     """``(bucket, size_range, n)``; empty buckets are left out."""
-    return (
-        _visit_summary(visits).groupBy("bucket").agg(F.sum("n").alias("n"))
-        .select("bucket", bucket_name(F.col("bucket")).alias("size_range"), "n")
-    )
+    return _size_histogram(_visit_summary(visits))
+
+
+def _size_histogram(summary: DataFrame) -> DataFrame:
+    buckets = summary.groupBy("bucket").agg(F.sum("n").alias("n"))
+    return buckets.select("bucket", bucket_name(F.col("bucket")).alias("size_range"), "n")
 
 
 def content_type_histogram(visits: DataFrame) -> DataFrame:
-    return _visit_summary(visits).groupBy("content_type").agg(F.sum("n").alias("n"))
+    return _content_type_histogram(_visit_summary(visits))
+
+
+def _content_type_histogram(summary: DataFrame) -> DataFrame:
+    return summary.groupBy("content_type").agg(F.sum("n").alias("n"))
 
 
 def total_links(visits: DataFrame) -> DataFrame:
-    return _visit_summary(visits).agg(F.coalesce(F.sum("out_links"), F.lit(0)).alias("total_urls"))
+    """Sum of the visits' distinct out-links (not the number of distinct links)."""
+    return _total_links(_visit_summary(visits))
+
+
+def _total_links(summary: DataFrame) -> DataFrame:
+    return summary.agg(F.coalesce(F.sum("out_links"), F.lit(0)).alias("total_urls"))
 
 
 def url_uniques(url_rows: DataFrame, site: str, approximate: bool = False) -> DataFrame:
@@ -132,16 +147,22 @@ def _numbered(histogram: DataFrame, metric: str, order: str) -> DataFrame:
 
 
 def crawl_report(fetches: DataFrame, visits: DataFrame, url_rows: DataFrame, site: str) -> DataFrame:
-    """The report as ``(section_no, section, pos, metric, value)``."""
+    """The report as ``(section_no, section, pos, metric, value)``.
+
+    The two histograms behind most sections are written first, so that each log is
+    scanned once.
+    """
+    statuses = written(status_histogram(fetches), "statuses")
+    summary = written(_visit_summary(visits), "visit-summary")
     fetch_lines = dict(zip(("attempted", "succeeded", "failed"), fixed.FETCH_LINES))
     unique_lines = dict(zip(("n_unique", "n_within", "n_outside"), fixed.URL_LINES[1:]))
     sections = [
-        _section(0, _named(fetch_counts(fetches), fetch_lines)),
-        _section(1, _named(total_links(visits), {"total_urls": fixed.URL_LINES[0]})),
+        _section(0, _named(_fetch_counts(statuses), fetch_lines)),
+        _section(1, _named(_total_links(summary), {"total_urls": fixed.URL_LINES[0]})),
         _section(1, _named(url_uniques(url_rows, site), unique_lines, first=1)),
-        _section(2, _numbered(status_histogram(fetches), "status", "status")),
-        _section(3, _numbered(size_histogram(visits), "size_range", "bucket")),
-        _section(4, _numbered(content_type_histogram(visits), "content_type", "content_type")),
+        _section(2, _numbered(statuses, "status", "status")),
+        _section(3, _numbered(_size_histogram(summary), "size_range", "bucket")),
+        _section(4, _numbered(_content_type_histogram(summary), "content_type", "content_type")),
     ]
     report = sections[0]
     for section in sections[1:]:

@@ -71,16 +71,16 @@ def fetch_log(responses: DataFrame) -> DataFrame:
 
 def _visited(linked: DataFrame) -> DataFrame:
     """Rows that get a visit row: fetched, and HTML or one of the listed binary types."""
-    kind = media_type(F.col("content_type"))
+    kind = F.col("content_type")
     is_html = F.contains(kind, F.lit("text/html"))
     is_binary = F.lit(False)
     for name in fixed.BINARY_CONTENT_TYPES:
         is_binary = is_binary | F.contains(kind, F.lit(name))
     return (
         linked.where(F.col("status") == "200")
-        .withColumn("content_type", kind)
-        .withColumn("is_html", is_html)
+        .withColumn("content_type", media_type(kind))
         .where(is_html | is_binary)
+        .withColumn("is_html", is_html)
     )
 
 
@@ -89,7 +89,7 @@ def visit_log(linked: DataFrame) -> DataFrame:
     return _visited(linked).select(
         "url",
         F.col("size").cast("bigint").alias("size"),
-        F.when(F.col("is_html"), distinct_links()).otherwise(0).alias("out_links"),
+        F.when(F.col("is_html"), F.col("out_links")).otherwise(0).alias("out_links"),
         "content_type",
     )
 
@@ -111,8 +111,9 @@ def url_log(linked: DataFrame, seed_netloc: str) -> DataFrame:
 
 
 def linked_responses(responses: DataFrame) -> DataFrame:
-    """``(page_id, url, status, content_type, size, hrefs, links)``, the HTML left behind."""
-    return page_links(responses.withColumn("size", F.octet_length("html")))
+    """``(page_id, url, status, content_type, size, hrefs, links, out_links)``, the HTML left behind."""
+    linked = page_links(responses.withColumn("size", F.octet_length("html")))
+    return linked.withColumn("out_links", distinct_links())
 
 
 def crawl_edges(linked: DataFrame, seed_netloc: str) -> DataFrame:

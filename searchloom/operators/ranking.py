@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from searchloom import fixed_values as fixed
 from searchloom.functions import urls
 
+POSITIONS_PER_SELECTOR = 1 << 48
+
 
 def list_rows(lists: DataFrame) -> DataFrame:
     """``(query, urls)`` to ``(query, rank, url)``, ranks from 0."""
@@ -41,13 +43,15 @@ def top_results(candidates: DataFrame, k: int = fixed.RESULTS_PER_QUERY) -> Data
     """The first ``k`` distinct URLs by ``(selector_no, pos)``; rank from 0, without gaps.
 
     ``row_number() <= k`` is cut per task before the shuffle, so a query with very
-    many candidates sends at most ``k`` rows per task.
+    many candidates sends at most ``k`` rows per task. Selector and position are
+    compared as one number, which keeps the aggregation a hash aggregation.
     """
     order = W.partitionBy("query").orderBy("seen_at", "url")
+    place = F.col("selector_no").cast("bigint") * POSITIONS_PER_SELECTOR + F.col("pos")
     return (
         candidates.where(F.col("url") != "")
         .groupBy("query", "url")
-        .agg(F.min(F.struct("selector_no", "pos")).alias("seen_at"))
+        .agg(F.min(place).alias("seen_at"))
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= k)
         .select("query", (F.col("place") - 1).alias("rank"), "url")
