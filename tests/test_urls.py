@@ -1,8 +1,7 @@
+import random
 from urllib.parse import unquote, urljoin, urlparse
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from searchloom.functions import html, urls
@@ -77,11 +76,11 @@ def test_unwrap_redirect(spark):
     assert column_of(spark, [a for a, _ in cases], urls.unwrap_redirect) == [b for _, b in cases]
 
 
-PIECES = st.sampled_from(
-    ["http", "https", "http://", "https://s.com/", "/a", "/b/", "ftp", "mailto", "tel", ":", "/", "//", "?", "#", ";", ".", "..", "./", "../",
-     "a", "b.c", "www.", "www.s.com", "x y", "%20", "=", "&", "é", "index.html", "|", "\t", "+", "-"]
+PIECES = (
+    "http", "https", "http://", "https://s.com/", "/a", "/b/", "ftp", "mailto", "tel", ":", "/", "//", "?", "#",
+    ";", ".", "..", "./", "../", "a", "b.c", "www.", "www.s.com", "x y", "%20", "=", "&", "é", "index.html", "|",
+    "\t", "+", "-",
 )
-URLS = st.lists(PIECES, max_size=9).map("".join)
 
 
 def safe(function, *args):
@@ -91,9 +90,14 @@ def safe(function, *args):
         return None
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(URLS, URLS), min_size=300, max_size=300))
-def test_columns_agree_with_the_standard_library(spark, pairs):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_columns_agree_with_the_standard_library(spark, seed):
+    rng = random.Random(seed)
+
+    def some_url():
+        return "".join(rng.choices(PIECES, k=rng.randint(0, 9)))
+
+    pairs = [(some_url(), some_url()) for _ in range(4000)]
     df = spark.createDataFrame(
         [(i, b, h) for i, (b, h) in enumerate(pairs)], "i int, base string, href string"
     ).select(
