@@ -9,18 +9,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Loops are possessive: they do not recurse, however long a tag or a page is.
 _TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 # One pass over the page; only the opening <a ...> alternative fills group 2.
 _MARKUP = (
     r"(?is)<(?:!--.*?-->"
-    r"|(script|style)\b.*?</\1\s*>"
+    r"|(script|style)\b.*?(?:</\1\s*>|\z)"
     r"|a(?=[\s/>])(" + _TAG_REST + ")>"
     r"|[a-z/!?]" + _TAG_REST + ">)"
 )
 _ATTRIBUTE = r"""[^\s=/>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?"""
+# group 1 is the value of the last href, with its quotes
 _HREF = (
-    r"(?is)\A[\s/]*(?:(?!href[\s=/>])" + _ATTRIBUTE + r"[\s/]*)*?"
-    r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    r"(?is)\A[\s/]*+(?:"
+    r"(?:(?!href[\s=/>])" + _ATTRIBUTE + r"""[\s/]*+|["'=][\s/]*+)*+"""
+    r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)[\s/]*+)++"""
 )
 
 _HEX_REFERENCE = r"\A#[xX]([0-9a-fA-F]+);?"
@@ -81,15 +84,9 @@ def anchor_hrefs(html: Column) -> Column:
     attributes = F.filter(
         F.regexp_extract_all(html, F.lit(_MARKUP), F.lit(2)), lambda a: a.ilike("%href%")
     )
+    written = F.transform(attributes, lambda a: F.regexp_extract(a, _HREF, 1))
     values = F.transform(
-        attributes,
-        lambda a: unescape(
-            F.concat(
-                F.regexp_extract(a, _HREF, 1),
-                F.regexp_extract(a, _HREF, 2),
-                F.regexp_extract(a, _HREF, 3),
-            )
-        ),
+        written, lambda v: unescape(F.regexp_replace(v, r"""\A["']|["']\z""", ""))
     )
     return F.filter(values, lambda v: v != "")
 

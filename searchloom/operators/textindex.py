@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from searchloom import fixed_values as fixed
 from searchloom.functions import text as words_of
 
-DOCUMENTS_PER_BLOCK = 1_000_000
+DOCUMENTS_PER_BLOCK = 250_000
 
 
 def tokenize(docs: DataFrame) -> DataFrame:

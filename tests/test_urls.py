@@ -134,6 +134,29 @@ def test_anchors(spark):
     assert [r.href for r in rows] == got
 
 
+ODD_MARKUP = [
+    "<!-- x <a href=/1>", "<script> <a href=/1>", "<textarea><a href=/1></textarea><a href=/2>",
+    "<![CDATA[ <a href=/1> ]]><a href=/2>", "<style><a href=/1></script></style ><a href=/2>", "<!--><a href=/1>-->",
+    "<a href=/1/>", '<a href="/1"/>', "<a href='/1'title=x>", "<a\x0chref=/1>", "<a/href=/1>", "</a href=/1>",
+    "<a href=/x title=t href='/y'>", "<a href=/1", "<a href>x</a>", "<abbr href=/1>", "<a HREF = '/a\"b'>", "",
+]
+
+
+def test_odd_markup_gives_the_parser_s_anchors(spark):
+    native = column_of(spark, ODD_MARKUP, html.anchor_hrefs)
+    for page, links in zip(ODD_MARKUP, native):
+        parser = html._SelectorMatcher(["a"])
+        parser.feed(page)
+        parser.close()
+        assert links == parser.found[0], page
+
+
+def test_very_long_tags(spark):
+    many = " ".join(f"data-{i}='{i}'" for i in range(30_000))
+    page = f"<p {many}>x</p><a {many} href=/deep>y</a><!--{'-' * 300_000}--><a = ' \" href='/end'>z</a>" + "<" * 100_000
+    assert column_of(spark, [page], html.anchor_hrefs)[0][:1] == ["/deep"]
+
+
 def test_numeric_references_out_of_range(spark):
     got = column_of(spark, ["a&#0;b&#xD800;c&#99999999999999999999;d&#65e"], html.unescape)[0]
     assert got == "a�b�c�dAe"
