@@ -1,3 +1,4 @@
+import subprocess
 import sys
 from pathlib import Path
 
@@ -29,3 +30,20 @@ def test_only_the_approximate_search_has_no_sql():
 def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns == ["term", "block", "n_docs", "postings"] and not result.isEmpty()
+
+
+def test_python_workers_find_the_package_from_any_folder(tmp_path):
+    root = Path(contract.__file__).resolve().parent
+    program = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+import __spark_entry__ as contract
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+print("rows", contract.queries()["model_fanout"](spark, {SF_DIR!r}).count())
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert "rows 80" in done.stdout, done.stderr[-2000:]
