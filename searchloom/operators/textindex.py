@@ -45,9 +45,17 @@ def term_counts(occurrences: DataFrame) -> DataFrame:
     return occurrences.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def block_count(docs: DataFrame, documents_per_block: int = DOCUMENTS_PER_BLOCK) -> int:
-    """How many blocks keep each one near ``documents_per_block`` documents (counts ``docs``)."""
-    return max(1, -(-docs.count() // documents_per_block))
+def block_count(
+    docs: DataFrame,
+    documents_per_block: int = DOCUMENTS_PER_BLOCK,
+    n_documents: int | None = None,
+) -> int:
+    """How many blocks keep each one near ``documents_per_block`` documents.
+
+    Counts ``docs`` unless a number is given.
+    """
+    n_documents = docs.count() if n_documents is None else n_documents
+    return max(1, -(-n_documents // documents_per_block))
 
 
 def posting_blocks(counts: DataFrame, n_blocks: int = 1, block: Column | None = None) -> DataFrame:

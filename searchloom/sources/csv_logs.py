@@ -55,8 +55,8 @@ def write_log(log: DataFrame, kind: str, path: str) -> None:
 
 def write_ranking_stats(table: DataFrame, path: str) -> None:
     """Rows in query order, the averages last; repeats of one query may span files."""
-    ordered = table.withColumn("row", F.monotonically_increasing_id()).orderBy("part", "query", "row")
-    rows = ordered.select("query", "n_overlap", "pct_overlap", "rho")
+    numbered = table.sortWithinPartitions("part", "query").withColumn("row", F.monotonically_increasing_id())
+    rows = numbered.orderBy("part", "query", "row").select("query", "n_overlap", "pct_overlap", "rho")
     _write_csv(rows, fixed.RANKING_STATS_HEADER, path)
 
 

@@ -10,13 +10,14 @@ from searchloom.operators.textindex import parse_postings, posting_text
 
 
 def write_index(blocks: DataFrame, path: str, part_files: int = fixed.INDEX_PART_FILES) -> None:
-    """Write posting blocks, a line each, sorted by term within and across the part files.
+    """Write posting blocks, a line each, sorted by term within a part file.
 
-    Parts are ranges of ``(term, block)``, so a term with many blocks can span files.
+    Lines are dealt out by ``(term, block)``, so a term with many blocks is spread
+    over the files.
     """
     line = F.concat_ws("\t", "term", posting_text(F.col("postings")))
     (
-        blocks.repartitionByRange(part_files, "term", "block")
+        blocks.repartition(part_files, "term", "block")
         .sortWithinPartitions("term", "block")
         .select(line.alias("value"))
         .write.mode("overwrite").text(path)

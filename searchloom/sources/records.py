@@ -25,11 +25,14 @@ def write_records(records: DataFrame, path: str, records_per_array: int = RECORD
     """Write records as JSON arrays, one per line.
 
     Arrays are cut by row number within a task, not by value, so copies of one
-    record cannot gather in one array.
+    record cannot gather in one array. The rows of a task are sorted first: a task
+    that runs again gives the same numbers.
     """
     array = F.floor(F.monotonically_increasing_id() / F.lit(records_per_array))
     (
-        records.groupBy(array.alias("array"))
+        records.sortWithinPartitions(*FIELDS)
+        .withColumn("array", array)
+        .groupBy("array")
         .agg(F.to_json(F.collect_list(F.struct(*FIELDS))).alias("value"))
         .select("value").write.mode("overwrite").text(path)
     )

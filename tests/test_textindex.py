@@ -81,6 +81,8 @@ def test_a_word_in_every_document_is_cut_into_blocks(spark):
     assert postings_of(blocks) == counted(rows)
     sizes = [r.n_docs for r in blocks.where("term = 'the'").collect()]
     assert len(sizes) == 8 and max(sizes) < 100
+    given = jobs.word_index(docs_of(spark, rows), documents_per_block=50, n_documents=100)
+    assert given.where("term = 'the'").count() == 2
 
 
 def test_text_form_goes_there_and_back(spark, tmp_path):
@@ -92,8 +94,9 @@ def test_text_form_goes_there_and_back(spark, tmp_path):
     assert back == counted(rows)
     parts = sorted((tmp_path / "index").glob("part-*"))
     assert 1 <= len(parts) <= fixed.INDEX_PART_FILES
-    terms = [line.split("\t")[0] for part in parts for line in part.read_text().splitlines()]
-    assert terms == sorted(terms)
+    for part in parts:
+        terms = [line.split("\t")[0] for line in part.read_text().splitlines()]
+        assert terms == sorted(terms)
 
 
 def test_reading_a_given_index(spark, tmp_path):
