@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import substring_dedup
+from searchloom.llm import bpe_automaton, line_dedup, merkle, packing, qda, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +41,103 @@ SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(coalesce(d.n, 0)
 FROM w LEFT JOIN d USING (doc_id)
 """
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS p
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+), s AS (
+  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words,
+         row_number() OVER (PARTITION BY doc_id, line ORDER BY p) AS nth, count(*) OVER (PARTITION BY doc_id, line) AS times FROM l
+), r AS (
+  SELECT *, length(array_to_string(words, '')) AS chars, len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
+         len(list_filter(words, lambda w: regexp_matches(w, '\p{L}'))) AS lettered,
+         len(regexp_extract_all(line, '[\x20\x09-\x0D](?:[|>•·»]|-{1,2}>?)[\x20\x09-\x0D]')) AS parts,
+         regexp_matches(line, '(?i)all rights reserved|cookie|privacy policy|terms of (?:use|service)|subscribe|newsletter|click here|sign (?:in|up)|log ?in|javascript|lorem ipsum') AS boilerplate
+  FROM s
+), b AS (
+  SELECT *, len(words) > 0 AND (4 * symbols >= chars OR 2 * lettered < len(words) OR parts >= 2 OR boilerplate
+         OR (times > 1 AND len(words) <= 3 AND right(words[-1], 1) NOT IN ('.', '!', '?', ':', ';'))) AS bad FROM r
+), d AS (
+  SELECT doc_id, sum(len(words)) AS n_words, sum(chars) AS word_chars, sum(symbols) AS n_symbols,
+         count(*) FILTER (WHERE nth > 1 AND len(words) > 0) AS n_dup_lines, count(*) FILTER (WHERE bad) AS n_bad_lines,
+         coalesce(sum(chars) FILTER (WHERE NOT bad), 0) AS kept_chars FROM b GROUP BY doc_id
+), w AS (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)
+), t AS (
+  SELECT doc_id, p, CASE WHEN p + 2 <= len(words) THEN array_to_string(words[p:p + 2], ' ') END AS win FROM w
+), c AS (
+  SELECT *, win IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, win) > 1 AS twice FROM t
+), g AS (
+  SELECT doc_id, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS repeated FROM c
+), e AS (
+  SELECT doc_id, count(*) FILTER (WHERE repeated) AS n FROM g GROUP BY doc_id
+), f AS (
+  SELECT d.*, coalesce(e.n, 0) AS n_repeat_words, d.n_words < 50 OR 100 * coalesce(e.n, 0) > 50 * d.n_words AS base_failed
+  FROM d LEFT JOIN e USING (doc_id)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       CAST(n_bad_lines AS BIGINT) AS n_bad_lines, CAST(kept_chars AS BIGINT) AS kept_chars, base_failed,
+       NOT base_failed AND 2 * kept_chars >= word_chars AS kept
+FROM f
+"""
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qda.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS p
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), often AS (
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), m AS (
+  SELECT k.*, often.key IS NOT NULL AS gone FROM k LEFT JOIN often USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.digest(table(spark, sf_dir, "documents"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op4_packing": op4_packing,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_document_fingerprints": op8_document_fingerprints,
+    "op10_bpe_automaton": op10_bpe_automaton,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op2_quality_rules": OP2_SQL,
+    "op7_line_dedup": OP7_SQL,
 }
