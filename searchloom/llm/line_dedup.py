@@ -162,7 +162,7 @@ def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
 
     ``id`` and ``tag`` name the row as in :func:`searchloom.llm.rows.texts_of`.
     """
-    gone = written(dropped_lines(docs, doc_id=doc_id, text=text, **options), "lines-gone")
+    gone = written(dropped_lines(docs, doc_id=doc_id, text=text, **options), "lines-gone").hint("merge")  # grows with the documents
     return texts_of(docs, doc_id, text).join(gone, ["id", "tag"], "left").select("id", "tag", "doc_id", "text", "gone").mapInArrow(
         _bitmaps, "id long, tag int, doc_id long, text string, n_lines long, n_dropped long, keep binary"
     )
