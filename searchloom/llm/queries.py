@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import bpe_automaton, line_dedup, merkle, packing, qda, quality_rules, substring_dedup
+from searchloom.llm import bpe_automaton, id_files, line_dedup, merkle, ngram_join, packing, qda, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +88,31 @@ FROM f
 """
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ') ELSE array_to_string(words[p:p + 3], ' ') END AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS p FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT r.a AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -96,6 +121,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qda.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -130,8 +159,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_ngram_join": op3_ngram_join,
     "op4_packing": op4_packing,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_id_files": op6_id_files,
     "op7_line_dedup": op7_line_dedup,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op10_bpe_automaton": op10_bpe_automaton,
@@ -139,5 +170,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_quality_rules": OP2_SQL,
+    "op3_ngram_join": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
 }
