@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchloom.llm.rows import texts_of
+from searchloom.llm.rows import keys_of, texts_of, unused, with_text
 from searchloom.storage import written
 
 WHITE = b" \t\n\x0b\x0c\r"
@@ -188,6 +188,19 @@ def without_lines(bitmaps: DataFrame) -> DataFrame:
     return bitmaps.mapInArrow(_apply, "id long, tag int, doc_id long, kept string, n_lines long, n_dropped long")
 
 
+def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` without the lines to drop; a row that loses all its words goes. ``n_chars`` follows the text."""
+    id_, tag, gone = unused(docs, "id", "tag", "gone")
+    lost = written(dropped_lines(docs, doc_id=doc_id, text=text, **options), "lines-gone").where(F.size("gone") > 0)
+    lost = lost.select(F.col("id").alias(id_), F.col("tag").alias(tag), F.col("gone").alias(gone))
+    keys = docs.withColumns(dict(zip((id_, tag), keys_of(docs, doc_id, text), strict=True)))
+    joined = keys.join(lost.hint("merge"), [id_, tag], "left")
+    lines = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(F.col(gone), i))
+    new = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
+    rest = joined.withColumn(text, new).where(F.col(gone).isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    return rest.select(*(f"`{c}`" for c in docs.columns)).select(with_text(docs, F.col(text), text))
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """The rows of query op7."""
     return without_lines(keep_bitmaps(docs)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

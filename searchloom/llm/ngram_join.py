@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchloom.llm import words as W
-from searchloom.llm.rows import range_hashes, texts_of
+from searchloom.llm.rows import keys_of, range_hashes, texts_of, unused
 from searchloom.storage import written
 
 K = 4
@@ -76,7 +76,7 @@ def _signed(values: list[int]) -> pa.Array:
 
 
 def set_rows(texts: DataFrame, k: int, percent: int, with_text: bool = False, hot=None) -> DataFrame:
-    """``doc_id``, ``id``, the set's size ``n`` and hashes ``s1``, ``s2``; and the deflated text, or the set's
+    """``doc_id``, ``id``, ``tag``, the set's size ``n`` and hashes ``s1``, ``s2``; and the deflated text, or the set's
     prefix in the order given by ``hot`` (a broadcast of sorted shingles and their frequency)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +98,8 @@ def set_rows(texts: DataFrame, k: int, percent: int, with_text: bool = False, ho
                 if with_text:
                     bodies = [pack(value.as_py().encode()) for value in part]
                 own = batch.slice(row, len(part))
-                columns = [own.column(0), own.column(1), pa.array(sizes, pa.int32()), _signed(one), _signed(two)]
-                names = ["doc_id", "id", *SET]
+                columns = [*own.columns[:2], own.column(3), pa.array(sizes, pa.int32()), _signed(one), _signed(two)]
+                names = ["doc_id", "id", "tag", *SET]
                 if with_text:
                     columns.append(pa.array(bodies, pa.binary()))
                     names.append("body")
@@ -108,9 +108,9 @@ def set_rows(texts: DataFrame, k: int, percent: int, with_text: bool = False, ho
                     names.append("prefix")
                 yield pa.record_batch(columns, names)
 
-    schema = "doc_id long, id long, n int, s1 long, s2 long"
+    schema = "doc_id long, id long, tag int, n int, s1 long, s2 long"
     schema += ", body binary" * with_text + ", prefix array<long>" * (hot is not None)
-    return texts.select("doc_id", "id", "text").mapInArrow(find, schema)
+    return texts.select("doc_id", "id", "text", "tag").mapInArrow(find, schema)
 
 
 def frequent_shingles(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,16 +284,17 @@ def _tile_pairs(rows: DataFrame, bodies: DataFrame, k: int, percent: int) -> Dat
 
 
 def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
+    """One row per row of ``docs``: ``doc_id``, ``id``, ``tag``, ``n_shingles``, ``component_id``, ``first_of_group``.
 
-    ``component_id`` is the smallest id that links lead to, its own included.
+    ``component_id`` is the smallest id that links lead to, its own included; ``id`` and ``tag`` name the row as in
+    :func:`searchloom.llm.rows.texts_of`; ``first_of_group`` marks one document of each component.
     """
     texts = texts_of(docs, doc_id, text)
     context = docs.sparkSession.sparkContext
     hot = context.broadcast(frequent_shingles(texts, k))
     classes = written(
         set_rows(texts, k, percent, hot=hot).where("n > 0").groupBy(*SET).agg(
-            F.min("id").alias("node"), F.min("doc_id").alias("first"), F.min("prefix").alias("prefix")
+            F.min("id").alias("node"), F.min("id").alias("least"), F.min("doc_id").alias("first"), F.min("prefix").alias("prefix")
         ), "classes",
     )
     clashing = written(classes.groupBy("node").count().where("count > 1").select("node"), "clashing")  # ids that recur
@@ -328,9 +329,25 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
         )
         roots = components(links.unionByName(between))
 
-    named = classes.select(*SET, "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.select(*SET, "node", "least", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(named.join(smallest, "root").select(*SET, "component_id"), "named")
+    named = written(named.join(smallest, "root").select(*SET, "node", "root", "least", "component_id"), "named")
     return set_rows(texts, k, percent).join(named, SET, "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "id", "tag", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce((F.col("node") == F.col("root")) & (F.col("id") == F.col("least")), F.lit(True)).alias("first_of_group"),
     )
+
+
+def one_of_each_group(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, the one of smallest id; all columns stay as they are."""
+    found = similar_components(docs, k, percent, doc_id, text).where("first_of_group")
+    id_, tag = unused(docs, "id", "tag")
+    stays = written(found.groupBy("component_id", "id", "n_shingles").agg(F.min("tag").alias("tag")), "stays")
+    stays = stays.select(F.col("id").alias(id_), F.col("tag").alias(tag)).distinct()
+    keys = docs.withColumns(dict(zip((id_, tag), keys_of(docs, doc_id, text), strict=True)))
+    return keys.join(stays.hint("merge"), [id_, tag], "left_semi").dropDuplicates([id_, tag]).select(*(f"`{c}`" for c in docs.columns))
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """The rows of query op3."""
+    return similar_components(docs).select("doc_id", "n_shingles", "component_id")

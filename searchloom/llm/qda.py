@@ -22,8 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from searchloom.llm.quality_rules import repeated_words
+from searchloom.llm.rows import unused
 from searchloom.storage import written
 
 NAMES = (
@@ -149,6 +151,21 @@ def train(vectors: DataFrame, labels: DataFrame, label: str = "quality") -> Mode
     return fit(vectors.join(known, "doc_id"))
 
 
+def without_low_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text") -> DataFrame:
+    """``docs`` without the rows that the classifier predicts as 0; all columns stay as they are."""
+    model = train(features(docs, text=text), labels, label)
+    (kept,) = unused(docs, "kept")
+    place = docs.columns.index(text)
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([statistics(value.as_py() or "") for value in batch.column(place)]).reshape(-1, len(NAMES))
+            yield batch.append_column(kept, pa.array(model.scores(x) >= 0.5))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(kept, T.BooleanType())])
+    return docs.mapInArrow(rate, schema).where(F.col(kept)).drop(kept)
+
+
 def quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """The rows of query op5: ``doc_id``, ``held_out``, ``score``, ``predicted`` for every document."""
     vectors = written(features(docs), "quality-statistics")

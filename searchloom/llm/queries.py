@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import bpe_automaton, id_files, line_dedup, merkle, ngram_join, packing, qda, quality_rules, substring_dedup
+from searchloom.llm import bpe_automaton, id_files, line_dedup, merkle, ngram_join, packing, qda, quality_rules, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,7 +89,7 @@ FROM f
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+    return ngram_join.digest(table(spark, sf_dir, "documents"))
 
 
 OP3_SQL = r"""
@@ -151,6 +151,10 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digest(table(spark, sf_dir, "documents"))
 
@@ -165,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "op6_id_files": op6_id_files,
     "op7_line_dedup": op7_line_dedup,
     "op8_document_fingerprints": op8_document_fingerprints,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 ORACLES: dict[str, str] = {

@@ -6,24 +6,50 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchloom.llm import words as W
 
 
+def keys_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
+    """The columns ``id`` and ``tag`` that name a row: see :func:`texts_of`."""
+    known = docs[doc_id].cast("long")
+    return F.coalesce(known, F.lit(0).cast("long")), F.hash(F.coalesce(docs[text], F.lit("")), known)
+
+
 def texts_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, the text ("" for null) and ``id``, ``tag``, which together name a row.
 
     ``tag`` hashes text and id, so rows that share an id, or have none, stay apart unless their
     texts agree as well; such repeated rows are alike in every result. Other columns are left out.
     """
-    source = docs.select(docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    return source.select(
-        F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.hash("text", "doc_id").alias("tag"), "doc_id", "text"
+    id_, tag = keys_of(docs, doc_id, text)
+    return docs.select(
+        id_.alias("id"), tag.alias("tag"), docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text")
     )
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column has them."""
+    taken = {c.lower() for c in docs.columns}
+    result = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        result.append(name)
+    return result
+
+
+def with_text(docs: DataFrame, new: Column, text: str = "text", length: str = "n_chars") -> list[Column]:
+    """All columns of ``docs`` with another text, and its length if there is a column for it."""
+    types = dict(docs.dtypes)
+    return [
+        new.alias(c) if c == text else F.length(new).cast(types[c]).alias(c) if c == length else F.col(f"`{c}`") for c in docs.columns
+    ]
+
+
 def anchors(texts: DataFrame, k: int, span: int) -> DataFrame:
     """Content-selected ``k``-grams: one in every run of ``span`` words of a text, equal ones in equal runs.
 

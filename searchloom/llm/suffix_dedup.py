@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from searchloom.llm import words as W
-from searchloom.llm.rows import anchors, covered, lists, texts_of
+from searchloom.llm.rows import anchors, covered, keys_of, lists, texts_of, unused, with_text
 from searchloom.storage import written
 
 KEY = ["id", "tag"]
@@ -83,11 +84,12 @@ def _match(gram: np.ndarray, right: np.ndarray, left: np.ndarray, rank: np.ndarr
     return [low, high, low_later, high_later]
 
 
-def repeated_runs(
+def run_spans(
     docs: DataFrame, m: int = 50, bucket: int = 20_000, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Texts (``id``, ``tag``, ``doc_id``, ``text``) with arrays ``repeated`` and ``later`` of runs of words (``start``,
-    ``end``); ``later`` holds what occurs earlier as well. Runs may overlap. Null where there are none."""
+    """Per row (``id``, ``tag``) with a repeated run: arrays ``repeated`` and ``later`` of runs of words (``start``, ``end``).
+
+    ``later`` holds what occurs earlier as well. Runs may overlap and reach beyond the text."""
     k = m // 2
     free = m - k
     texts = texts_of(docs, doc_id, text)
@@ -190,7 +192,7 @@ def repeated_runs(
         F.when(~is_head, every).when(F.col("low_later") >= 0, run(F.col("low_later"), F.col("high_later"))).alias("later"),
     )
     spans = spans.groupBy(*KEY).agg(F.collect_set("repeated").alias("repeated"), F.collect_set("later").alias("later"))
-    return texts.join(written(spans, "suffix-spans").hint("merge"), KEY, "left")
+    return written(spans, "suffix-spans")
 
 
 def _runs(n: int, spans: list | None) -> list[tuple[int, int]]:
@@ -227,38 +229,42 @@ def repeated_passages(docs: DataFrame, m: int = 50, doc_id: str = "doc_id", text
                 ["doc_id", "start_word", "end_word", "first"],
             )
 
-    runs = repeated_runs(docs, m, doc_id=doc_id, text=text, **options).where("repeated IS NOT NULL")
+    spans = run_spans(docs, m, doc_id=doc_id, text=text, **options)
+    runs = texts_of(docs, doc_id, text).join(spans.hint("merge"), KEY)
     return runs.select("doc_id", "text", "repeated", "later").mapInArrow(
         find, "doc_id long, start_word int, end_word int, first boolean"
     ).withColumn("n_words", F.col("end_word") - F.col("start_word"))
 
 
 def without_later(docs: DataFrame, m: int = 50, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``id``, ``tag`` and ``kept``: each text without the passages that occur earlier, and ``cut``, the words taken out.
+    """``docs`` without the passages that occur earlier; a row that loses all its words goes.
 
-    White space stays as it is around what is kept."""
+    White space stays as it is around what is kept. Other columns stay, but ``n_chars`` follows the text."""
+    spans = run_spans(docs, m, doc_id=doc_id, text=text, **options).where(F.size("later") > 0)
+    id_, tag, later, kept = unused(docs, "id", "tag", "later", "kept")
+    mine = spans.select(F.col("id").alias(id_), F.col("tag").alias(tag), F.col("later").alias(later))
+    place = docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, gone = [], []
-            for value, later in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                lost = 0
-                if later:
-                    words = W.words_of(pa.array([value]))
-                    data = value.encode()
-                    n = len(words.start)
-                    rest, at = [], 0
-                    for start, end in _runs(n, later):
+            values, left = batch.column(place).to_pylist(), []
+            for k, spans_ in enumerate(batch.column(len(batch.columns) - 1).to_pylist()):
+                any_left = True
+                if spans_:
+                    words = W.words_of(pa.array([values[k]]))
+                    data, n, rest, at, lost = values[k].encode(), len(words.start), [], 0, 0
+                    for start, end in _runs(n, spans_):
                         lost += end - start
                         rest.append(data[at : int(words.start[start])])
                         at = int(words.start[end]) if end < n else len(data)
-                    value = b"".join([*rest, data[at:]]).decode()
-                kept.append(value)
-                gone.append(lost)
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(kept, pa.string()), pa.array(gone, pa.int32())], ["id", "tag", "kept", "cut"]
-            )
-
-    return repeated_runs(docs, m, doc_id=doc_id, text=text, **options).select(*KEY, "text", "later").mapInArrow(
-        cut, "id long, tag int, kept string, cut int"
-    )
+                    values[k] = b"".join([*rest, data[at:]]).decode()
+                    any_left = lost < n
+                left.append(any_left)
+            batch = batch.set_column(place, text, pa.array(values, pa.string()))
+            yield batch.set_column(len(batch.columns) - 1, kept, pa.array(left, pa.bool_()))
+
+    keys = docs.withColumns(dict(zip((id_, tag), keys_of(docs, doc_id, text), strict=True)))
+    joined = keys.join(mine.hint("merge"), [id_, tag], "left").select(*(f"`{c}`" for c in docs.columns), later)
+    schema = T.StructType([*docs.schema.fields, T.StructField(kept, T.BooleanType())])
+    rest = joined.mapInArrow(cut, schema).where(F.col(kept)).drop(kept)
+    return rest.select(with_text(rest, F.col(text), text))
