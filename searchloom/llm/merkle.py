@@ -17,13 +17,21 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEAF_END = r"((?:[^\p{L}\p{N}\s]|[gGyYzZ])\s+)(?=\S)"
+LEAF_END = r"(\s(?<=(?:[^\p{L}\p{N}\s]|[gGyYzZ])\s)\s*)(?=\S)"  # looks back at white space only
 WORDS_IN_LEAF = r"((?:\S+\s+){8})(?=\S)"
 SHOWN = 8  # hex digits of a node below the root
-ROWS_PER_GROUP = 2048
+ROWS_PER_GROUP = 512
+GROUPS_TOGETHER = 1024
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _hash(value: Column) -> Column:
@@ -36,8 +44,10 @@ def _shown(value: Column) -> Column:
 
 def leaves(paragraph: Column) -> Column:
     """Hashes of a paragraph's clauses; one without an end of clause is cut after each eighth word."""
-    cut = F.regexp_replace(paragraph, LEAF_END, "$1\n")
-    cut = F.when(F.contains(cut, F.lit("\n")), cut).otherwise(F.regexp_replace(paragraph, WORDS_IN_LEAF, "$1\n"))
+    cut = _let(
+        F.regexp_replace(paragraph, LEAF_END, "$1\n"),
+        lambda c: F.when(F.contains(c, F.lit("\n")), c).otherwise(F.regexp_replace(c, WORDS_IN_LEAF, "$1\n")),
+    )
     return F.transform(F.split(cut, "\n"), _hash)
 
 
@@ -47,18 +57,23 @@ def tree(text: Column) -> Column:
     return F.transform(below, lambda x: F.struct(_hash(F.array_join(x, "")).alias("hash"), F.transform(x, _shown).alias("leaves")))
 
 
-def fingerprint(paragraphs: Column) -> Column:
-    """A text's fingerprint from its tree."""
-    marked = F.array_join(
-        F.transform(paragraphs, lambda p: F.concat(p["hash"], F.when(F.substring(p["hash"], 1, 1) < "4", " ").otherwise(""))), ""
-    )
-    sections = F.transform(F.split(F.rtrim(marked), " "), _hash)
-    shown = F.transform(
-        paragraphs, lambda p: F.concat(_shown(p["hash"]), F.lit(":"), F.array_join(p["leaves"], ","))
-    )
-    return F.concat_ws(
-        "|", _hash(F.array_join(sections, "")), F.array_join(F.transform(sections, _shown), " "), F.array_join(shown, ";")
-    )
+def fingerprint(text: Column) -> Column:
+    """A text's fingerprint."""
+
+    def of_tree(paragraphs: Column) -> Column:
+        marked = F.array_join(
+            F.transform(paragraphs, lambda p: F.concat(p["hash"], F.when(F.substring(p["hash"], 1, 1) < "4", " ").otherwise(""))), ""
+        )
+        shown = F.transform(
+            paragraphs, lambda p: F.concat(_shown(p["hash"]), F.lit(":"), F.array_join(p["leaves"], ","))
+        )
+        top = _let(
+            F.transform(F.split(F.rtrim(marked), " "), _hash),
+            lambda x: F.concat_ws("|", _hash(F.array_join(x, "")), F.array_join(F.transform(x, _shown), " ")),
+        )
+        return F.concat_ws("|", top, F.array_join(shown, ";"))
+
+    return _let(tree(text), of_tree)
 
 
 def leaf_set(print_: Column) -> Column:
@@ -86,52 +101,64 @@ def differing_paragraphs(one: Column, other: Column) -> Column:
     ).otherwise(F.array_except(hashes(one), hashes(other)))
 
 
-def with_next(docs: DataFrame, columns: list[str], order: str = "doc_id") -> DataFrame:
-    """Add ``next``: a struct of ``columns`` of the row that follows by ``order``; after the last comes the first.
+def with_next(
+    docs: DataFrame, columns: list[str], order: str = "doc_id", derive: Callable[[DataFrame], DataFrame] = lambda x: x
+) -> DataFrame:
+    """Add ``next_<column>`` of the row that follows by ``order``; after the last row comes the first.
 
-    Rows are grouped by ranges of ids, about ``ROWS_PER_GROUP`` rows wide on average; only the first row of each
-    group is seen by another group.
+    ``docs`` has a column ``text`` without nulls, for the order of equal ids. Rows are grouped by ranges of ids, about
+    ``ROWS_PER_GROUP`` rows wide on average. Each group also gets the first row of the next one, so that one
+    shuffle is enough; which rows those are is found from the ids alone. ``derive`` adds columns of a row once those rows
+    are chosen, before the shuffle.
     """
     low, high, rows = docs.agg(F.min(order), F.max(order), F.count("*")).first()
     width = 1 if low is None else max(1, ((high - low + 1) * ROWS_PER_GROUP + rows - 1) // rows)
-    group = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.floor((F.col(order) - F.lit(low or 0)) / F.lit(width))).cast("long")
-    row = F.struct(*columns)
-    inside = Window.partitionBy("group").orderBy(F.col(order).asc_nulls_first(), "text")
-    linked = docs.withColumn("group", group).select(
-        "*", F.lead(row).over(inside).alias("next"), F.row_number().over(inside).alias("place")
+    group = F.coalesce(F.floor((F.col(order) - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
+    firsts = docs.select(group.alias("own"), order).groupBy("own").agg(F.min(order).alias("first")).withColumn(
+        "range", F.floor(F.col("own") / GROUPS_TOGETHER)
+    )
+    by_range = Window.orderBy("range")  # one row per GROUPS_TOGETHER groups
+    around = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranges = firsts.groupBy("range").agg(F.max("own").alias("last")).select(
+        "range", F.coalesce(F.lag("last").over(by_range), F.max("last").over(around)).alias("last_before")
     )
-    firsts = linked.where("place = 1").select("group", row.alias("follows"))
-    groups = docs.select(group.alias("group")).distinct()
-    order_of = Window.orderBy("group")  # one row per group, ids only
-    after = groups.select(
-        F.col("group").alias("before"), F.coalesce(F.lead("group").over(order_of), F.min("group").over(
-            order_of.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("group"),
+    firsts = firsts.withColumn("before", F.lag("own").over(Window.partitionBy("range").orderBy("own"))).join(ranges, "range").select(
+        "own", "first", F.coalesce("before", "last_before").alias("before")
     )
-    heads = firsts.join(after, "group").select(F.col("before").alias("group"), "follows")
-    ends = linked.where("next IS NULL").drop("next").join(heads, "group").withColumnRenamed("follows", "next")
-    kept = [*docs.columns, "next"]
-    return linked.where("next IS NOT NULL").select(kept).unionByName(ends.select(kept))
+    grouped = docs.withColumn("group", group)
+    seen = grouped.join(firsts, (F.col("group") == F.col("own")) & F.col(order).eqNullSafe(F.col("first")))
+    seen = seen.select(*docs.columns, F.col("before").alias("group"), F.lit(1).alias("lent"))
+    inside = Window.partitionBy("group").orderBy("lent", F.col(order).asc_nulls_first(), "text")
+    rows_ = derive(grouped.withColumn("lent", F.lit(0)).unionByName(seen))
+    linked = rows_.select(
+        *(c for c in rows_.columns if c != "group"), *(F.lead(c).over(inside).alias(f"next_{c}") for c in columns)
+    )
+    return linked.where("lent = 0").drop("lent")
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``text`` and ``fingerprint`` of every row."""
-    source = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    return source.withColumn("fingerprint", fingerprint(tree(F.col("text"))))
+    return _fingerprinted(docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text")))
+
+
+def _fingerprinted(texts: DataFrame) -> DataFrame:
+    return texts.withColumn("fingerprint", fingerprint(F.col("text")))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The rows of query op8: each text against its edited form and against the next document."""
-    linked = with_next(fingerprints(docs), ["text", "fingerprint"])
     n, quarter = F.length("text"), F.floor(F.length("text") / 4).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next.text"), F.lit(1), quarter))
-    rows = linked.select(
-        "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fingerprint",
-        F.col("next.fingerprint").alias("next"), leaf_set(F.col("fingerprint")).alias("leaves"),
-        leaf_set(F.col("next.fingerprint")).alias("next_leaves"),
-    ).withColumn("edited_fingerprint", fingerprint(tree(F.col("edited"))))
-    rows = rows.withColumn("edited_leaves", leaf_set(F.col("edited_fingerprint")))
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter))
+    source = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    rows = with_next(source, ["text", "fingerprint"], derive=_fingerprinted).select(
+        "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fingerprint", "next_fingerprint"
+    ).withColumn("edited_fingerprint", fingerprint(F.col("edited")))
+    for name in ("fingerprint", "edited_fingerprint", "next_fingerprint"):
+        rows = rows.withColumn(f"{name}_leaves", leaf_set(F.col(name)))
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint"), F.col("leaves"), F.col("edited_leaves")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next"), F.col("leaves"), F.col("next_leaves")).alias("near_next"),
+        *(
+            likeness(F.col("fingerprint"), F.col(other), F.col("fingerprint_leaves"), F.col(f"{other}_leaves")).alias(name)
+            for name, other in (("near_edited", "edited_fingerprint"), ("near_next", "next_fingerprint"))
+        ),
     )
