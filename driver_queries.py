@@ -575,7 +575,6 @@ UNION ALL SELECT 'urls', url, valid FROM url_log""")
 def crawl_replay(spark, sf_dir):
     logs = jobs.replay_crawl(
         given.responses(spark, sf_dir), given.table(spark, sf_dir, "pages").select("url"), "example.com",
-        max_pages=10**9,
     )
     return _long(logs.fetch, logs.visit, logs.urls)
 
@@ -587,6 +586,13 @@ def bfs_reach(spark, sf_dir):
     )
 
 
+@compared(_reach_sql(1, 4, 20))
+def bfs_cap(spark, sf_dir):
+    """The cap falls inside a level."""
+    edges = given.page_edges(spark, sf_dir).drop("weight")
+    return reach.reach(edges, given.seed_page(spark, sf_dir), max_depth=4, max_pages=20)
+
+
 @compared(_reach_sql(0, 3, 200))
 def redirect_follow(spark, sf_dir):
     edges = given.page_edges(spark, sf_dir, first_link_weight=0)
@@ -636,6 +642,32 @@ def vec_ingest(spark, sf_dir):
     )
 
 
+@compared(f"""WITH r AS (SELECT p_partkey AS id, p_name AS title, p_brand AS artist, p_type AS subgenre,
+  p_size || ' units' AS characteristics FROM part),
+t AS (SELECT *, title || ' ' || artist || ' ' || subgenre || ' ' || characteristics AS text FROM r),
+q AS (SELECT DISTINCT p_type AS query_id, p_type AS text FROM part),
+cv AS ({_slots_sql('t', 'id', 'text', 64)}),
+qv AS ({_slots_sql('q', 'query_id', 'text', 64)}),
+cn AS (SELECT id, sum(weight * weight) AS n FROM cv GROUP BY id),
+qn AS (SELECT query_id, sum(weight * weight) AS n FROM qv GROUP BY query_id),
+dots AS (SELECT query_id, id, sum(qv.weight * cv.weight) AS dot FROM qv JOIN cv USING (slot) GROUP BY query_id, id),
+scored AS (SELECT query_id, id, round(coalesce(dot::DOUBLE / sqrt(qn.n::DOUBLE * cn.n::DOUBLE), 0), 12) AS score
+  FROM q CROSS JOIN r LEFT JOIN dots USING (query_id, id) LEFT JOIN qn USING (query_id) LEFT JOIN cn USING (id)),
+best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS n FROM scored)
+SELECT query_id, CAST(n AS INTEGER) AS rank, title, artist, subgenre, characteristics, round(score, 6) AS score
+FROM best JOIN r USING (id) WHERE n <= 3""")
+def vec_text_search(spark, sf_dir):
+    fields = ["title", "artist", "subgenre", "characteristics"]
+    named = given.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_brand").alias("artist"),
+        F.col("p_type").alias("subgenre"), F.concat("p_size", F.lit(" units")).alias("characteristics"),
+    )
+    stored = rag.embedded(named.withColumn("text", F.concat_ws(" ", *fields)), models.hashed_terms(64)).drop("text")
+    questions = given.table(spark, sf_dir, "part").select(F.col("p_type").alias("query_id"), F.col("p_type").alias("text")).distinct()
+    found = jobs.text_search(stored, questions, models.hashed_terms(64), fields, k=3)
+    return _rounded(found, "score")
+
+
 @compared(_slots_sql("documents", "doc_id", "text", 128))
 def vec_embed(spark, sf_dir):
     vectors_of = rag.embedded(given.documents(spark, sf_dir), models.hashed_terms(128))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 _TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 # One pass over the page; only the opening <a ...> alternative fills group 2.
 _MARKUP = (
-    r"(?is)<(?:!--.*?-->"
+    r"(?is)<(?:!--.*?(?:-->|\z)"
     r"|(script|style)\b.*?(?:</\1\s*>|\z)"
     r"|a(?=[\s/>])(" + _TAG_REST + ")>"
     r"|[a-z/!?]" + _TAG_REST + ">)"

@@ -115,20 +115,24 @@ def _statistics(n: Column, b_size: Column, sum_of_squares: Column) -> list[Colum
 
 
 def compare_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Statistics per query of ``b`` from ``(query, rank, url)`` rows.
+    """Statistics per query of ``b`` from ``(query, rank, url)`` rows; each side is read once, and nothing is joined.
 
     A query whose lists share nothing keeps its row. The percentage is taken of
-    the length of the second list, duplicates counted.
+    the length of the second list, duplicates counted. Rows can't tell an empty second list from none: a query
+    that only ``a`` has gets no row here, as in :func:`compare_lists` without a list in ``b``.
     """
-    per_query = matches(a, b).groupBy("query").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.pow(F.col("rank_a") - F.col("rank_b"), F.lit(2))).alias("d2"),
+    none = F.lit(None).cast("int")
+    both = a.select("query", "url", F.col("rank").alias("rank_a"), none.alias("rank_b")).unionByName(
+        b.select("query", "url", none.alias("rank_a"), F.col("rank").alias("rank_b"))
     )
-    sizes = b.groupBy("query").agg(F.count(F.lit(1)).alias("b_size"))
-    n, d2 = F.coalesce("n", F.lit(0)), F.coalesce("d2", F.lit(0.0))
-    return sizes.join(per_query, "query", "left").select(
-        "query", *_statistics(n, F.col("b_size"), d2)
+    firsts = both.groupBy("query", "url").agg(
+        F.min("rank_a").alias("rank_a"), F.min("rank_b").alias("rank_b"), F.count("rank_b").alias("b_rows")
     )
+    gap = F.col("rank_a") - F.col("rank_b")  # null unless the URL is on both sides
+    per_query = firsts.groupBy("query").agg(
+        F.count(gap).alias("n"), F.coalesce(F.sum(F.pow(gap, F.lit(2))), F.lit(0.0)).alias("d2"), F.sum("b_rows").alias("b_size")
+    )
+    return per_query.where("b_size > 0").select("query", *_statistics(F.col("n"), F.col("b_size"), F.col("d2")))
 
 
 def compare_lists(a: DataFrame, b: DataFrame) -> DataFrame:

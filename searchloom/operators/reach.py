@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchloom import fixed_values as fixed
 from searchloom.operators.ordered import first_rows
 from searchloom.storage import new_path, written
 
@@ -37,15 +36,15 @@ def _spread(edges: DataFrame, links_per_part: int) -> tuple[DataFrame, DataFrame
 def reach(
     edges: DataFrame,
     seeds: DataFrame,
-    max_depth: int = fixed.MAX_DEPTH,
-    max_pages: int = fixed.MAX_PAGES,
+    max_depth: int | None = None,
+    max_pages: int | None = None,
     links_per_part: int = LINKS_PER_PART,
 ) -> DataFrame:
     """``(url, depth)`` of pages reached from ``seeds(url)``, each at its smallest depth.
 
     ``edges(src, dst)`` may have a ``weight``: 1 for a link, 0 for a redirect,
-    whose target keeps the depth of its source. At most ``max_pages`` pages, by
-    ``(depth, url)``.
+    whose target keeps the depth of its source. If given, at most ``max_pages`` pages, by
+    ``(depth, url)``, and none deeper than ``max_depth``.
     """
     spark = edges.sparkSession
     has_redirects = "weight" in edges.columns
@@ -88,11 +87,12 @@ def reach(
             found = frontier.count()
             level, on_level = level.unionByName(frontier), on_level + found
         total += on_level
-        if total >= max_pages or on_level == 0 or depth == max_depth:
+        full = max_pages is not None and total >= max_pages
+        if full or on_level == 0 or depth == max_depth:
             break
         depth += 1
         frontier = keep(targets(level, 1), depth)
-    if total <= max_pages:
+    if max_pages is None or total <= max_pages:
         return visited()
     inner = visited().where(F.col("depth") < depth)
     last = first_rows(level, ["url"], max_pages - (total - on_level))

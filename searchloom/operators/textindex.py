@@ -34,10 +34,15 @@ def phrase_occurrences(
     docs: DataFrame, phrases: Sequence[str] | DataFrame = fixed.TARGET_PHRASES
 ) -> DataFrame:
     """Word pairs that are wanted phrases: a list, or a table with a ``term`` column."""
-    pairs = bigrams(docs)
     if isinstance(phrases, DataFrame):
-        return pairs.join(phrases.select("term"), "term", "left_semi").select("doc_id", "pos", "term")
-    return pairs.where(F.col("term").isin(*phrases))
+        return bigrams(docs).join(phrases.select("term"), "term", "left_semi").select("doc_id", "pos", "term")
+    words = docs.select("doc_id", words_of.words(F.col("text")).alias("words"))
+    numbered = F.transform(
+        words_of.neighbour_pairs(F.col("words")),
+        lambda pair, pos: F.struct(pos.alias("pos"), F.concat_ws(" ", pair["first"], pair["second"]).alias("term")),
+    )
+    wanted = F.filter(numbered, lambda x: x["term"].isin(*phrases))  # in the row: only wanted pairs become rows
+    return words.select("doc_id", F.inline(wanted))
 
 
 def term_counts(occurrences: DataFrame) -> DataFrame:
