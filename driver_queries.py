@@ -241,6 +241,24 @@ def serp_report(spark, sf_dir):
     return _rounded(report, "pct_overlap", "rho", "n_overlap")
 
 
+@compared(f"""WITH {RANKED_SQL},
+ordered AS (SELECT n_name AS query, row_number() OVER (ORDER BY n_regionkey, n_name DESC) - 1 AS row FROM nation)
+SELECT row, query, n_overlap::DOUBLE AS n_overlap, round(pct_overlap, 6) AS pct_overlap, round(rho, 6) AS rho
+FROM stats JOIN ordered USING (query)
+UNION ALL SELECT (SELECT count(*) FROM nation), 'Averages', round(pct_overlap / 10, 6), round(pct_overlap, 6), round(rho, 6) FROM means""")
+def serp_stats_csv(spark, sf_dir):
+    """The CSV follows the query file, whatever the order of the lists."""
+    query_file, stats_file = new_path(spark, "query-set"), new_path(spark, "ranking-stats")
+    given.table(spark, sf_dir, "nation").orderBy("n_regionkey", F.desc("n_name")).select("n_name").coalesce(1).write.text(query_file)
+    report = jobs.ranking_report(
+        query_sets.read_query_set(spark, query_file, position=True),
+        ranking.collect_lists(given.ranking_a(spark, sf_dir)),
+        ranking.collect_lists(given.ranking_b(spark, sf_dir)),
+    )
+    csv_logs.write_ranking_stats(report, stats_file)
+    return _rounded(csv_logs.read_ranking_stats(spark, stats_file), "pct_overlap", "rho", "n_overlap")
+
+
 @compared(f"WITH {RANKED_SQL} SELECT query, norm AS url FROM a INTERSECT SELECT query, norm FROM b")
 def serp_intersect(spark, sf_dir):
     return ranking.shared_urls(*_both(spark, sf_dir))

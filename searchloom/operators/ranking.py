@@ -171,13 +171,17 @@ def averages(stats: DataFrame) -> DataFrame:
 
 
 def stats_table(stats: DataFrame) -> DataFrame:
-    """Rows per query and a last row of averages: ``(part, query, n_overlap, pct_overlap, rho)``."""
+    """Rows per query and a last row of averages: ``(part, query, n_overlap, pct_overlap, rho)``.
+
+    A ``position`` of the queries is kept, as a last column.
+    """
+    place = [c for c in stats.columns if c == "position"]
     rows = stats.select(
         F.lit(0).alias("part"), "query", F.col("n_overlap").cast("double").alias("n_overlap"),
-        "pct_overlap", "rho",
+        "pct_overlap", "rho", *place,
     )
     last = averages(stats).select(
         F.lit(1).alias("part"), F.lit(fixed.AVERAGES_LABEL).alias("query"),
         "n_overlap", "pct_overlap", "rho",
     )
-    return rows.unionByName(last)
+    return rows.unionByName(last, allowMissingColumns=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,12 +55,33 @@ def write_log(log: DataFrame, kind: str, path: str) -> None:
 
 
 def write_ranking_stats(table: DataFrame, path: str) -> None:
-    """Rows in query order, the averages last; repeats of one query may span files."""
-    numbered = table.sortWithinPartitions("part", "query").withColumn("row", F.monotonically_increasing_id())
-    rows = numbered.orderBy("part", "query", "row").select("query", "n_overlap", "pct_overlap", "rho")
+    """Rows in order of their ``position`` (of their query, if they have none), the averages last.
+
+    The order is that of the part files, and of the rows in each.
+    """
+    place = "position" if "position" in table.columns else "query"
+    numbered = table.sortWithinPartitions("part", place).withColumn("row", F.monotonically_increasing_id())
+    rows = numbered.orderBy("part", place, "row").select("query", "n_overlap", "pct_overlap", "rho")
     _write_csv(rows, fixed.RANKING_STATS_HEADER, path)
 
 
+def read_ranking_stats(spark: SparkSession, path: str) -> DataFrame:
+    """``(row, query, n_overlap, pct_overlap, rho)``, ``row`` from 0 in the order of the files."""
+    schema = "query string, n_overlap double, pct_overlap double, rho double"
+    rows = spark.read.schema(schema).options(**_DIALECT).option("header", True).option("enforceSchema", True).csv(path)
+    place = ("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    placed = rows.select("*", F.struct(*place).alias("place"))
+    counts = placed.groupBy("place.file_name", "place.file_block_start").agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.orderBy("file_name", "file_block_start").rowsBetween(W.unboundedPreceding, -1)  # a row per split
+    counts = counts.select(F.col("file_name").alias("f"), F.col("file_block_start").alias("s"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    within = W.partitionBy("place.file_name", "place.file_block_start").orderBy("place.at")
+    return (
+        placed.withColumn("nth", F.row_number().over(within) - 1)
+        .join(counts, (F.col("place.file_name") == F.col("f")) & (F.col("place.file_block_start") == F.col("s")))
+        .select((F.col("before") + F.col("nth")).alias("row"), "query", "n_overlap", "pct_overlap", "rho")
+    )
+
+
 def write_report(lines: DataFrame, path: str) -> None:
     """A report of a few dozen lines as one text file, in order."""
     ordered = lines.orderBy("section_no", "pos").select("value")
