@@ -24,30 +24,19 @@ result. Other columns are not read.
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from searchloom.llm.vocabulary import WORD_BPE, Chunks, Memory, read_vocabulary, shared
+from searchloom.llm.vocabulary import WORD_BPE, Chunks, Memory, read_vocabulary, shared, spelt
 
 START = -1
 NEVER = 1 << 40
 ARCS = 1 << 20  # remembered transitions
 
 
-@lru_cache(maxsize=1)
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte: itself where it is printable, else one from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    extra = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(extra)) for b in range(256)]
-
-
 class Automaton:
     """States and arcs of a vocabulary's merges."""
 
@@ -129,31 +118,16 @@ class Codec:
         labels = {i: s for s, i in [*model["vocab"].items(), *self.special.items()]}
         self.labels = [labels.get(i, "") for i in range(max(labels) + 1)]
         self.numbers = [str(i) for i in range(len(self.labels))]
-        self.letters = byte_letters()
         self.words = Memory(self._word)
         self.known = Memory(self._chunk)
-        self._library: Tokenizer | None = None
-        self._vocabulary = vocabulary
 
     def _word(self, word: str) -> tuple[int, ...]:
-        return tuple(self.automaton.encode("".join(map(self.letters.__getitem__, word.encode()))))
+        return tuple(self.automaton.encode(spelt(word)))
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        lower = self.normal(chunk)
-        words = self.chunks.pattern.findall(lower)
+        words = self.chunks.words(chunk)
         return self.words[words[0]] if len(words) == 1 else tuple(i for w in words for i in self.words[w])
 
-    def normal(self, text: str) -> str:
-        """The vocabulary's normal form, as the library makes it (NFC, each character in lower case)."""
-        if text.isascii():
-            return text.lower()
-        text = unicodedata.normalize("NFC", text)
-        if not text.isprintable() or max(text) > "ɏ":  # beyond Latin: the library knows its own edition of Unicode
-            if self._library is None:
-                self._library = Tokenizer.from_str(self._vocabulary)
-            return self._library.normalizer.normalize_str(text)
-        return "".join(map(str.lower, text))
-
     def encode(self, text: str) -> list[int]:
         """Ids of a text; special tokens that it spells out count as themselves."""
         if self.chunks.falls_apart(text):
@@ -164,7 +138,7 @@ class Codec:
         found = []
         while text:
             at, token = min(((text.find(s), s) for s in self.special if s in text), default=(len(text), ""))
-            for word in self.chunks.pattern.findall(self.normal(text[:at])):
+            for word in self.chunks.pattern.findall(self.chunks.normal(text[:at])):
                 found += self.words[word]
             if token:
                 found.append(self.special[token])

@@ -28,7 +28,7 @@ from searchloom.storage import written
 
 WINDOW = 4096
 END_ID = 2
-GROUP = 2048
+GROUP = 512
 
 
 def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
@@ -88,8 +88,8 @@ def pieces(
         ids_of = shared(ChunkIds, vocabulary.value)
         for batch in batches:
             rows, starts, lengths, checks, totals = [], [], [], [], []
-            for row, value in enumerate(batch.column(1)):
-                ids = memoryview(ids_of(value.as_py() or "") + end)
+            for row, value in enumerate(batch.column(1).cast(pa.binary())):
+                ids = memoryview(ids_of(value.as_py() or b"") + end)
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     part = ids[4 * start : 4 * (start + window)]

@@ -10,7 +10,10 @@ through the library as whole texts.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -19,7 +22,7 @@ from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f")
-REMEMBERED = 250_000  # chunks, and as many words, per Python worker
+REMEMBERED = 150_000  # chunks, and as many words, per Python worker; twice that at most
 
 
 def read_vocabulary(path: str = WORD_BPE) -> str:
@@ -29,18 +32,38 @@ def read_vocabulary(path: str = WORD_BPE) -> str:
 
 
 class Memory(dict):
-    """Values by key, made on demand; emptied when it holds ``REMEMBERED`` keys."""
+    """Values by key, made on demand. When it holds ``REMEMBERED`` keys they become the former ones; former keys that
+    are asked for come back, the others go the next time."""
 
     def __init__(self, make: Callable):
-        self.make = make
+        self.make, self.former = make, {}
 
     def __missing__(self, key):
         if len(self) >= REMEMBERED:
+            self.former = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.former.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
+@lru_cache(maxsize=1)
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself where it is printable, else one from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    extra = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(extra)) for b in range(256)]
+
+
+def spelt(word: str) -> str:
+    """A word in byte letters."""
+    if word.isascii() and word.isprintable():
+        return word
+    return "".join(map(byte_letters().__getitem__, word.encode()))
+
+
 class Chunks:
     """How a tokenizer of this kind cuts text: NFC, lower case, words by a pattern, no white space."""
 
@@ -55,6 +78,26 @@ class Chunks:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in settings["added_tokens"])
         )
         self.pattern = regex.compile(cutter["pattern"]["Regex"]) if self.by_chunk else None
+        self.ascii = (
+            re.compile(cutter["pattern"]["Regex"].replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]").replace(r"\p{L}\p{N}", "a-z0-9"), re.ASCII)
+            if self.by_chunk else None
+        )
+        self.library = Tokenizer.from_str(vocabulary)
+
+    def normal(self, text: str) -> str:
+        """The normal form (NFC, each character in lower case)."""
+        if text.isascii():
+            return text.lower()
+        text = unicodedata.normalize("NFC", text)
+        if not text.isprintable() or max(text) > "ɏ":  # beyond Latin: the library knows its own edition of Unicode
+            return self.library.normalizer.normalize_str(text)
+        return "".join(map(str.lower, text))
+
+    def words(self, chunk: str) -> list[str]:
+        """The words of a chunk without white space."""
+        if chunk.isascii():
+            return self.ascii.findall(chunk.lower())
+        return self.pattern.findall(self.normal(chunk))
 
     def falls_apart(self, text: str) -> bool:
         """Whether ``text.split()`` gives chunks that can be encoded one by one."""
@@ -62,29 +105,31 @@ class Chunks:
 
 
 class ChunkIds:
-    """Ids of whole texts by the library, as bytes of little-endian unsigned 32-bit numbers."""
+    """Ids of whole texts (UTF-8) by the library, as bytes of little-endian unsigned 32-bit numbers.
+
+    Chunks are cut at ASCII white space; any other white space is left to the pattern."""
 
     def __init__(self, vocabulary: str):
-        self.library = Tokenizer.from_str(vocabulary)
+        self.chunks = Chunks(vocabulary)
+        self.library = self.chunks.library
         self.library.no_truncation()
         self.library.no_padding()
-        self.chunks = Chunks(vocabulary)
-        self.words = Memory(self.by_library)
+        self.model = self.library.model
+        self.apart = [s.encode() for s in (*self.chunks.special, *CONTROLS)]
+        self.bytes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.words = Memory(self._word)
         self.known = Memory(self._chunk)
 
-    def by_library(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        return b"".join([self.bytes[token.id] for token in self.model.tokenize(spelt(word))])
 
-    def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii():  # NFC and context-free lower case change nothing else
-            words = self.chunks.pattern.findall(chunk.lower())
-            return self.words[words[0]] if len(words) == 1 else b"".join(map(self.words.__getitem__, words))
-        return self.words[chunk]
+    def _chunk(self, chunk: bytes) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.chunks.words(chunk.decode())))
 
-    def __call__(self, text: str) -> bytes:
-        if self.chunks.falls_apart(text):
+    def __call__(self, text: bytes) -> bytes:
+        if self.chunks.by_chunk and not any(x in text for x in self.apart):
             return b"".join(map(self.known.__getitem__, text.split()))
-        return self.by_library(text)
+        return b"".join([self.bytes[i] for i in self.library.encode(text.decode(), add_special_tokens=False).ids])
 
 
 _made: dict[tuple[type, int], object] = {}

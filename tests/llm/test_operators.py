@@ -367,7 +367,7 @@ def test_automaton_and_library_agree_on_random_text():
         text = "".join(dice.choice(source) for _ in range(dice.randint(1, 16)))
         ids = ids_of(text)
         assert codec.encode(text) == ids and codec.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False), text
-        assert np.frombuffer(by_library(text), "<u4").tolist() == ids, text
+        assert np.frombuffer(by_library(text.encode()), "<u4").tolist() == ids, text
 
 
 def test_automaton_of_self_merges():
