@@ -46,70 +46,82 @@ TILE = 512
 SET = ["n", "s1", "s2"]
 
 
-def shingle_sets(part: pa.Array, k: int = K) -> Iterator[np.ndarray]:
-    """The sorted different shingles of each text."""
+def all_sets(part: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of each text, sorted, one text after the other; and where each text's begin, and the end."""
     words = W.words_of(part)
     hashes = W.word_hashes(words, lower=True)
-    grams = W.window_hashes(hashes, k)
-    first = words.first
-    whole = range_hashes(hashes, first[:-1], first[1:], seed=2)
-    for low, high, short in zip(first[:-1].tolist(), first[1:].tolist(), whole, strict=True):
-        if high - low >= k:
-            yield np.unique(grams[low : high - k + 1])
-        elif high > low:
-            yield np.array([short])
-        else:
-            yield np.zeros(0, np.uint64)
+    inside = np.flatnonzero(W.fits(words, k))
+    values, text = W.window_hashes(hashes, k)[inside], words.text[inside]
+    lengths = np.diff(words.first)
+    short = np.flatnonzero((lengths > 0) & (lengths < k))
+    if len(short):
+        whole = range_hashes(hashes, words.first[short], words.first[short + 1], seed=2)
+        values, text = np.concatenate((values, whole)), np.concatenate((text, short.astype(text.dtype)))
+    order = np.lexsort((values, text))
+    values, text = values[order], text[order]
+    keep = np.ones(len(values), bool)
+    keep[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
+    return values[keep], np.searchsorted(text[keep], np.arange(len(part) + 1))
 
 
-def needed(size: int, percent: int) -> int:
-    """Members that a set of this size must share to be linked."""
-    return -(-percent * size // 100)
+def shingle_sets(part: pa.Array, k: int = K) -> Iterator[np.ndarray]:
+    """The sorted different shingles of each text."""
+    values, first = all_sets(part, k)
+    for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        yield values[low:high]
 
 
-def _set_hashes(members: np.ndarray) -> tuple[int, int]:
-    return int(members.sum(dtype=np.uint64)), int(W.mix(members ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
+def needed(size, percent: int):
+    """Members that sets of this size must share to be linked."""
+    return -(-percent * size // 100)
 
 
-def _signed(values: list[int]) -> pa.Array:
-    return pa.array(np.array(values, np.uint64).view(np.int64))
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+    return W.signed(summed[first[1:]] - summed[first[:-1]])
 
 
 def set_rows(texts: DataFrame, k: int, percent: int, with_text: bool = False, hot=None) -> DataFrame:
     """``doc_id``, ``id``, ``tag``, the set's size ``n`` and hashes ``s1``, ``s2``; and the deflated text, or the set's
-    prefix in the order given by ``hot`` (a broadcast of sorted shingles and their frequency)."""
+    bitmap and its prefix in the order given by ``hot`` (a broadcast of sorted shingles and their frequency)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for row, part in W.pieces(batch.column(2)):
-                sizes, one, two, bodies, prefixes = [], [], [], [], []
-                for members in shingle_sets(part, k):
-                    sizes.append(len(members))
-                    a, b = _set_hashes(members)
-                    one.append(a)
-                    two.append(b)
-                    if hot is not None:
-                        frequent, counts = hot.value
-                        place = np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)
-                        count = np.where(frequent[place] == members, counts[place], 0) if len(frequent) else 0 * members
-                        length = len(members) - needed(len(members), percent) + 1 if len(members) else 0
-                        prefixes.append(np.sort(members[np.lexsort((members, count))[:length]]).view(np.int64))
-                if with_text:
-                    bodies = [pack(value.as_py().encode()) for value in part]
+                values, first = all_sets(part, k)
+                sizes = np.diff(first)
                 own = batch.slice(row, len(part))
-                columns = [*own.columns[:2], own.column(3), pa.array(sizes, pa.int32()), _signed(one), _signed(two)]
+                columns = [
+                    *own.columns[:2], own.column(3), pa.array(sizes.astype(np.int32)), pa.array(_sums(values, first)),
+                    pa.array(_sums(W.mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first)),
+                ]
                 names = ["doc_id", "id", "tag", *SET]
                 if with_text:
-                    columns.append(pa.array(bodies, pa.binary()))
+                    columns.append(pa.array([pack(value.as_py().encode()) for value in part], pa.binary()))
                     names.append("body")
                 if hot is not None:
-                    columns.append(pa.array(prefixes, pa.list_(pa.int64())))
-                    names.append("prefix")
+                    frequent, counts = hot.value
+                    text = np.repeat(np.arange(len(part)), sizes)
+                    count = np.zeros(len(values), np.int64)
+                    if len(frequent):
+                        place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
+                        count = np.where(frequent[place] == values, counts[place], 0)
+                    lengths = np.where(sizes > 0, sizes - needed(sizes, percent) + 1, 0)
+                    order = np.lexsort((values, count, text))
+                    chosen = values[order][np.arange(len(values)) - first[text] < lengths[text]]
+                    bits = np.zeros((len(part), BITS), np.uint8)
+                    bits[text, (values & np.uint64(BITS - 1)).astype(np.int64)] = 1
+                    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+                    columns += [
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(W.signed(chosen))),
+                        pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()),
+                    ]
+                    names += ["prefix", "bits"]
                 yield pa.record_batch(columns, names)
 
     schema = "doc_id long, id long, tag int, n int, s1 long, s2 long"
-    schema += ", body binary" * with_text + ", prefix array<long>" * (hot is not None)
+    schema += ", body binary" * with_text + ", prefix array<long>, bits binary" * (hot is not None)
     return texts.select("doc_id", "id", "text", "tag").mapInArrow(find, schema)
 
 
@@ -119,8 +131,7 @@ def frequent_shingles(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, part in W.pieces(batch.column(0)):
-                found = [x.view(np.int64) for x in shingle_sets(part, k)]
-                yield pa.record_batch([pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], ["shingle"])
+                yield pa.record_batch([pa.array(W.signed(all_sets(part, k)[0]))], ["shingle"])
 
     sample = texts.where(F.pmod(F.xxhash64("text", "id"), F.lit(SAMPLE)) == 0).select("text")
     least = max(3, sample.count() // HOT)
@@ -148,8 +159,26 @@ def _linked(shared, size_a, size_b, percent: int):
     return 100 * shared >= percent * (size_a + size_b - shared)
 
 
+def possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` of nodes whose sizes and bitmaps allow a link; ``signatures``: ``node``, ``n``, ``bits``."""
+
+    def side(name: str) -> DataFrame:
+        return signatures.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
+            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(batch), -1) for i in (4, 5)]
+            keep = _linked(most_shared(n_a, n_b, *bits), n_a, n_b, percent)
+            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+
+    met = pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a")
+    near = met.where("least(n_a, n_b) * 100 >= greatest(n_a, n_b) * " + str(percent))
+    return near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bound, "a long, b long")
+
+
 def verified(pairs: DataFrame, bodies: DataFrame, k: int, percent: int) -> DataFrame:
-    """The linked ones of pairs ``a``, ``b`` of nodes."""
+    """The linked ones of pairs ``a``, ``b`` of nodes, by the intersection of their sorted arrays."""
     one = bodies.select(F.col("node").alias("b"), F.col("body").alias("body_b"))
     other = bodies.select(F.col("node").alias("a"), F.col("body").alias("body_a"))
     both = pairs.join(one.hint("merge"), "b").join(other.hint("merge"), "a").select("a", "b", "body_a", "body_b")
@@ -168,14 +197,9 @@ def verified(pairs: DataFrame, bodies: DataFrame, k: int, percent: int) -> DataF
                 heads = dict(zip(news, sets[len(part) :], strict=True))
                 for i in range(len(part)):
                     if i in heads:
-                        last, held = names[i], (heads[i], signature(heads[i]))
-                    mine, (members, bits) = sets[i], held
-                    a, b = len(members), len(mine)
-                    keep.append(
-                        min(a, b) * 100 >= percent * max(a, b)
-                        and _linked(most_shared(a, b, bits, signature(mine)), a, b, percent)
-                        and _linked(len(np.intersect1d(members, mine, assume_unique=True)), a, b, percent)
-                    )
+                        last, held = names[i], heads[i]
+                    shared = len(np.intersect1d(held, sets[i], assume_unique=True))
+                    keep.append(_linked(shared, len(held), len(sets[i]), percent))
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(test, "a long, b long")
@@ -212,19 +236,11 @@ def components(edges: DataFrame) -> DataFrame:
     return mapping
 
 
-def _tile_pairs(rows: DataFrame, bodies: DataFrame, k: int, percent: int) -> DataFrame:
+def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components among classes that meet at a shingle, which sizes and bitmaps allow.
 
-    ``rows``: ``shingle``, ``node``, ``root``, ``n``.
+    ``rows``: ``shingle``, ``node``, ``root``, ``n``; ``signatures``: ``node``, ``bits``.
     """
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            texts = pa.array([unpack(x.as_py()).decode() for x in batch.column(1)], pa.string())
-            bits = [signature(s).tobytes() for _, part in W.pieces(texts) for s in shingle_sets(part, k)]
-            yield pa.record_batch([batch.column(0), pa.array(bits, pa.binary())], ["node", "bits"])
-
     by_size = Window.partitionBy("shingle").orderBy("n", "node")
     tiled = written(
         rows.withColumn("tile", F.floor((F.row_number().over(by_size) - 1) / TILE).cast("int")), "tiled"
@@ -234,10 +250,7 @@ def _tile_pairs(rows: DataFrame, bodies: DataFrame, k: int, percent: int) -> Dat
     compared = bands.join(later, "shingle").where(
         (F.col("tile_b") >= F.col("tile")) & (F.col("least_b") * percent <= F.col("most") * 100)
     ).select("shingle", "tile", "tile_b")
-    bits = bodies.join(tiled.select("node").distinct(), "node", "left_semi").select("node", "body").mapInArrow(
-        sign, "node long, bits binary"
-    )
-    members = tiled.join(bits, "node")
+    members = tiled.join(signatures.select("node", "bits"), "node")
     left = members.join(compared, ["shingle", "tile"]).select(
         "shingle", "tile", "tile_b", F.lit(False).alias("second"), "node", "root", "n", "bits"
     )
@@ -254,15 +267,17 @@ def _tile_pairs(rows: DataFrame, bodies: DataFrame, k: int, percent: int) -> Dat
             second = table.column(3).to_numpy(zero_copy_only=False)
             sets = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(len(node), -1)
             inside = table.column(1)[0].as_py() == table.column(2)[0].as_py()
-            others = np.arange(len(node)) if inside else np.flatnonzero(second)
-            for i in range(len(node)) if inside else np.flatnonzero(~second).tolist():
-                j = others[others > i] if inside else others
-                j = j[(root[j] != root[i]) & (np.minimum(n[j], n[i]) * 100 >= percent * np.maximum(n[j], n[i]))]
-                j = j[_linked(most_shared(n[i], n[j], sets[i], sets[j]), n[i], n[j], percent)]
-                if len(j):
-                    yield pa.record_batch(
-                        [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"]
-                    )
+            one, other = (np.arange(len(node)),) * 2 if inside else (np.flatnonzero(~second), np.flatnonzero(second))
+            bits = np.unpackbits(sets.view(np.uint8), axis=1).astype(np.float32)
+            set_bits = bits.sum(axis=1).astype(np.int64)
+            common = (bits[one] @ bits[other].T).astype(np.int64)
+            n_one, n_other = n[one, None], n[None, other]
+            most = np.minimum(n_one - set_bits[one, None] + common, n_other - set_bits[None, other] + common)
+            allowed = (root[one, None] != root[None, other]) & (np.minimum(n_one, n_other) * 100 >= percent * np.maximum(n_one, n_other))
+            i, j = np.nonzero(allowed & _linked(most, n_one, n_other, percent))
+            a, b = node[one[i]], node[other[j]]
+            once = a < b if inside else a != b
+            yield pa.record_batch([pa.array(np.minimum(a, b)[once]), pa.array(np.maximum(a, b)[once])], ["a", "b"])
 
         for batch in batches:
             if not len(batch):
@@ -294,7 +309,8 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
     hot = context.broadcast(frequent_shingles(texts, k))
     classes = written(
         set_rows(texts, k, percent, hot=hot).where("n > 0").groupBy(*SET).agg(
-            F.min("id").alias("node"), F.min("id").alias("least"), F.min("doc_id").alias("first"), F.min("prefix").alias("prefix")
+            F.min("id").alias("node"), F.min("id").alias("least"), F.min("doc_id").alias("first"), F.min("prefix").alias("prefix"),
+            F.min("bits").alias("bits"),
         ), "classes",
     )
     clashing = written(classes.groupBy("node").count().where("count > 1").select("node"), "clashing")  # ids that recur
@@ -313,14 +329,18 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
     wanted = written(classes.join(wanted, "node").select("node", *SET), "wanted")
     bodies = set_rows(texts, k, percent, with_text=True).join(wanted.hint("merge"), SET).groupBy("node").agg(F.min("body").alias("body"))
     bodies = written(bodies, "bodies")
-    links = written(verified(pairs, bodies, k, percent), "links")
+    signatures = classes.select("node", "n", "bits")
+    links = written(verified(written(possible(pairs, signatures, percent), "possible"), bodies, k, percent), "links")
     roots = components(links)
 
     with_roots = met.join(roots, "node", "left").select("shingle", "node", "n", F.coalesce("root", "node").alias("root"))
     with_roots = written(with_roots, "rooted")
-    apart = with_roots.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    rest = with_roots.join(apart.select("shingle"), "shingle", "left_semi")
-    more = _tile_pairs(rest, bodies, k, percent).distinct().join(pairs, ["a", "b"], "left_anti")
+    apart = with_roots.groupBy("shingle").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("count"),
+        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("one"), F.sum(F.hash("node").cast("long")).alias("two"),
+    ).where("low <> high").groupBy("count", "one", "two").agg(F.min("shingle").alias("shingle"))  # one of those met by the same classes
+    rest = with_roots.join(written(apart.select("shingle"), "apart"), "shingle", "left_semi")
+    more = _tile_pairs(rest, signatures, percent).distinct().join(pairs, ["a", "b"], "left_anti")
     more = written(verified(written(more, "tile-pairs"), bodies, k, percent), "more-links")
     if not more.isEmpty():
         ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b")]
