@@ -107,14 +107,15 @@ def with_next(
     """Add ``next_<column>`` of the row that follows by ``order``; after the last row comes the first.
 
     ``docs`` has a column ``text`` without nulls, for the order of equal ids. Rows are grouped by ranges of ids, about
-    ``ROWS_PER_GROUP`` rows wide on average. Each group also gets the first row of the next one, so that one
-    shuffle is enough; which rows those are is found from the ids alone. ``derive`` adds columns of a row once those rows
-    are chosen, before the shuffle.
+    ``ROWS_PER_GROUP`` rows wide on average. Each group also gets the first row of the next one, so that one shuffle of
+    all rows is enough; first rows are found by a minimum, taken within the tasks first. ``derive`` adds columns of a
+    row once those rows are chosen, before the shuffle.
     """
     low, high, rows = docs.agg(F.min(order), F.max(order), F.count("*")).first()
     width = 1 if low is None else max(1, ((high - low + 1) * ROWS_PER_GROUP + rows - 1) // rows)
     group = F.coalesce(F.floor((F.col(order) - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
-    firsts = docs.select(group.alias("own"), order).groupBy("own").agg(F.min(order).alias("first")).withColumn(
+    rest = [c for c in docs.columns if c not in (order, "text")]
+    firsts = docs.withColumn("own", group).groupBy("own").agg(F.min(F.struct(order, "text", *rest)).alias("first")).withColumn(
         "range", F.floor(F.col("own") / GROUPS_TOGETHER)
     )
     by_range = Window.orderBy("range")  # one row per GROUPS_TOGETHER groups
@@ -122,12 +123,10 @@ def with_next(
     ranges = firsts.groupBy("range").agg(F.max("own").alias("last")).select(
         "range", F.coalesce(F.lag("last").over(by_range), F.max("last").over(around)).alias("last_before")
     )
-    firsts = firsts.withColumn("before", F.lag("own").over(Window.partitionBy("range").orderBy("own"))).join(ranges, "range").select(
-        "own", "first", F.coalesce("before", "last_before").alias("before")
+    seen = firsts.withColumn("before", F.lag("own").over(Window.partitionBy("range").orderBy("own"))).join(ranges, "range").select(
+        *(F.col(f"first.{c}").alias(c) for c in docs.columns), F.coalesce("before", "last_before").alias("group"), F.lit(1).alias("lent")
     )
     grouped = docs.withColumn("group", group)
-    seen = grouped.join(firsts, (F.col("group") == F.col("own")) & F.col(order).eqNullSafe(F.col("first")))
-    seen = seen.select(*docs.columns, F.col("before").alias("group"), F.lit(1).alias("lent"))
     inside = Window.partitionBy("group").orderBy("lent", F.col(order).asc_nulls_first(), "text")
     rows_ = derive(grouped.withColumn("lent", F.lit(0)).unionByName(seen))
     linked = rows_.select(
