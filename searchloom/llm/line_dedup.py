@@ -3,7 +3,7 @@
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with A-Z lower-cased. Each document
 sends one row per different key, with the places of the key's lines. The rows are range-partitioned by key and
 document, sorted within the partition, and read as a stream: a run of one key is a count of documents, and
-its first row is the key's first occurrence. A run that touches an end of its partition may go on in the
+the rows named like its first one hold the key's first occurrence. A run that touches an end of its partition may go on in the
 next one; those keys alone are counted by a grouping that combines before its shuffle. So a key that a third of
 all documents share is spread over as many partitions as its rows need.
 
@@ -11,7 +11,7 @@ Only places travel back: per document one bitmap of the lines that stay, deflate
 the bitmaps once.
 
 Defined cases: null or empty text is one empty line; keys shorter than ``min_chars`` code points always stay;
-repeated rows are documents of their own; a null id is an id like any other; an empty table gives an empty
+repeated rows are documents of their own, and if they are the first with a key, each of them keeps it; a null id is an id like any other; an empty table gives an empty
 result. Other columns are not read.
 """
 
@@ -74,9 +74,9 @@ def _stream(min_docs: int):
             n = sum(len(p) for p in parts)
             if inside and n < min_docs:
                 return
-            for k, part in enumerate(parts):
-                first = np.zeros(len(part), bool)
-                first[0] = k == 0
+            head_id, head_tag = (parts[0].column(i)[0].as_py() for i in (2, 3))
+            for part in parts:
+                first = (part.column(2).to_numpy() == head_id) & (part.column(3).to_numpy() == head_tag)
                 yield pa.record_batch(
                     [*part.columns, pa.array([n if inside else None] * len(part), pa.int64()), pa.array(first)],
                     [*part.schema.names, "n", "first"],

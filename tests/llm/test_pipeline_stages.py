@@ -3,6 +3,8 @@
 import sys
 from pathlib import Path
 
+import pytest
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
@@ -35,3 +37,19 @@ def test_near_copies_share_five_words(spark):
     assert want == {0, 10, 20, 30, 40, 41, 50, 51}
     single = STAGES["n-gram Jaccard join"](spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r.doc_id for r in single.collect()} == want
+
+
+@pytest.mark.parametrize("lines", [5, 1])
+@pytest.mark.parametrize("times", [2, 12])
+def test_a_repeated_row_keeps_the_lines_it_holds_first(spark, lines, times):
+    """In one partition: of five frequent lines three at least are inside; a single one is at both ends."""
+    common = [f"Common line {k}" for k in range(lines)]
+    rows = [(1, "\n".join(common))] * times + [(2 + k, "\n".join([*common, f"own {k}"] if lines > 1 else common)) for k in range(11)]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = STAGES["line dedup"](spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    want = [(1, "\n".join(common))] * times + [(2 + k, f"own {k}") for k in range(11) if lines > 1]
+    assert sorted((r.doc_id, r.text) for r in found) == want
