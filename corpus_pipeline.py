@@ -41,7 +41,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, tokenized and packed."""
     ship(spark)
-    return packing.packed(docs)
+    return packing.digest(docs)
 
 
 STAGES = [

@@ -6,6 +6,7 @@ one task) and each group is packed into ``k`` windows: every rest starts as a pa
 filled window and ``k - 1`` empty ones; the two partial partitions with the largest imbalance are merged again and
 again, the fullest window of one with the emptiest of the other, until one is left, whose windows are nearly equal.
 ``k`` begins at the least count that could hold the group and rises whenever a window exceeds the capacity.
+Each piece carries its ids (``ids``, four little-endian bytes each), so sequences can be written from the result.
 
 Defined cases: null or empty text has only the end id; repeated rows are packed as often as they occur; a null id is
 kept as null; an empty table gives an empty result. Other columns are not read.
@@ -87,7 +88,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = shared(ChunkIds, vocabulary.value)
         for batch in batches:
-            rows, starts, lengths, checks, totals = [], [], [], [], []
+            rows, starts, lengths, checks, totals, bodies = [], [], [], [], [], []
             for row, value in enumerate(batch.column(1).cast(pa.binary())):
                 ids = memoryview(ids_of(value.as_py() or b"") + end)
                 n = len(ids) // 4
@@ -98,18 +99,22 @@ def pieces(
                     lengths.append(len(part) // 4)
                     checks.append(zlib.crc32(part))
                     totals.append(n)
+                    bodies.append(bytes(part))
             yield pa.record_batch(
-                [batch.column(0).take(pa.array(rows, pa.int32())), *(pa.array(c, pa.int64()) for c in (starts, lengths, checks, totals))],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                [
+                    batch.column(0).take(pa.array(rows, pa.int32())),
+                    *(pa.array(c, pa.int64()) for c in (starts, lengths, checks, totals)), pa.array(bodies, pa.binary()),
+                ],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"],
             )
 
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
-        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
     )
 
 
 def packed(docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW, end_id: int = END_ID, **columns: str) -> DataFrame:
-    """Pieces with their place: ``sequence_id`` and ``offset`` there, gapless from 0."""
+    """Pieces with their place: ``sequence_id`` and ``offset`` there, gapless from 0; ``ids`` as in :func:`pieces`."""
     table = written(pieces(docs, path, window, end_id, **columns), "pieces")
     groups = max(1, -(-table.count() // GROUP))
 
@@ -121,10 +126,15 @@ def packed(docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW, end_id:
         sequence[full:] = full + pack(sizes[full:], window)
         group["sequence_id"] = (group["dealt"].to_numpy().astype(np.int64) << 24) + sequence
         group["offset"] = group.groupby("sequence_id")["length"].cumsum() - group["length"]
-        return group[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
+        return group[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]]
 
     dealt = table.withColumn("dealt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
     return dealt.groupBy("dealt").applyInPandas(
         place,
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary",
     )
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """The rows of query op4."""
+    return packed(docs).drop("ids")

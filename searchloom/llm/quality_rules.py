@@ -8,9 +8,10 @@ Each line with a word is judged alone:
 * boilerplate: it holds one of :data:`BOILERPLATE`.
 
 Then the document is judged: it must keep ``min_kept`` of its word characters. ``kept`` also asks that the base
-rules pass: at least 50 words, and at most half of the words in repeated 3-word windows.
+rules pass: at least 50 words, and at most half of the words in repeated 3-word windows. ``kept_text`` is the text
+without its bad lines, whatever the document's verdict; lines without a word stay.
 
-One pass over whole texts, no shuffle. Defined cases: null or empty text has no words and fails the base rules;
+One pass over whole texts, no shuffle. Defined cases: null or empty text has no words, fails the base rules and has an empty ``kept_text``;
 rows with a null id and repeated rows each give their own row; an empty table gives an empty result. Other
 columns are not read.
 """
@@ -40,7 +41,7 @@ BOILERPLATE = re.compile(
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_bad_lines long, kept_chars long, base_failed boolean, kept boolean"
+    "n_bad_lines long, kept_chars long, base_failed boolean, kept boolean, kept_text string"
 )
 
 
@@ -70,9 +71,9 @@ def line_fails(line: str, words: list[str], repeated: bool) -> bool:
     return repeated and len(words) <= 3 and words[-1][-1] not in ".!?:;"
 
 
-def judge(text: str, min_kept: float = MIN_KEPT) -> tuple[int, int, int, int, int, int, int, bool, bool]:
-    """The statistics and both verdicts of one text, in the order of :data:`SCHEMA`."""
-    words, chars, kept, bad, duplicates = [], 0, 0, 0, 0
+def judge(text: str, min_kept: float = MIN_KEPT) -> tuple[int, int, int, int, int, int, int, bool, bool, str]:
+    """The statistics, both verdicts and the kept lines of one text, in the order of :data:`SCHEMA`."""
+    words, chars, kept, bad, duplicates, stay = [], 0, 0, 0, 0, []
     lines = text.split("\n")
     counts: dict[str, int] = {}
     for line in lines:
@@ -81,6 +82,7 @@ def judge(text: str, min_kept: float = MIN_KEPT) -> tuple[int, int, int, int, in
     for line in lines:
         own = WORD.findall(line)
         if not own:
+            stay.append(line)
             continue
         size = sum(map(len, own))
         words += own
@@ -91,16 +93,18 @@ def judge(text: str, min_kept: float = MIN_KEPT) -> tuple[int, int, int, int, in
             bad += 1
         else:
             kept += size
+            stay.append(line)
     n, repeats = len(words), repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeats > MAX_REPEATED * n
-    return n, chars, len(SYMBOLS.findall(text)), duplicates, repeats, bad, kept, failed, not failed and kept >= min_kept * chars
+    verdict = not failed and kept >= min_kept * chars
+    return n, chars, len(SYMBOLS.findall(text)), duplicates, repeats, bad, kept, failed, verdict, "\n".join(stay) if bad else text
 
 
 def quality_rules(docs: DataFrame, min_kept: float = MIN_KEPT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with the columns of :data:`SCHEMA`."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64()] * 7 + [pa.bool_()] * 2
+        types = [pa.int64()] * 7 + [pa.bool_()] * 2 + [pa.string()]
         names = [part.split()[0] for part in SCHEMA.split(", ")]
         for batch in batches:
             rows = [judge(value.as_py() or "", min_kept) for value in batch.column(1)]
@@ -108,3 +112,8 @@ def quality_rules(docs: DataFrame, min_kept: float = MIN_KEPT, doc_id: str = "do
             yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
 
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(rate, SCHEMA)
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """The rows of query op2."""
+    return quality_rules(docs).drop("kept_text")

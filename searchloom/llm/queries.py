@@ -42,7 +42,7 @@ FROM w LEFT JOIN d USING (doc_id)
 """
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
 OP2_SQL = r"""
@@ -114,7 +114,7 @@ FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"))
+    return packing.digest(table(spark, sf_dir, "documents"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
