@@ -1,6 +1,6 @@
-"""Substring dedup by level-wise doubling: windows that repeat at one length alone are extended to twice it.
+"""Substring dedup in two fixed levels and a window test, in place of level-wise doubling until no candidate survives.
 
-Levels, for windows of ``m`` words (35):
+One length, one extension, one test: the length isn't doubled in a loop. Steps, for windows of ``m`` words (35):
 
 1. ``ceil(m / 2)`` words, at content-selected positions. Every window of ``m`` words holds one of them, at
    the same place in all its copies. What is found once is dropped.
