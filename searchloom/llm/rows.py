@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +86,7 @@ def range_hashes(hashes: np.ndarray, low: np.ndarray, high: np.ndarray, seed: in
 
 def lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Values of a list column (null: empty), one after the other, and the row of each."""
-    lengths = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
     return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(column)), lengths)
 
 

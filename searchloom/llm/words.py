@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -65,7 +66,7 @@ def pieces(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, pa.Array]]
     """Slices of whole texts of about ``PIECE_BYTES``, each with its first row."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = column.fill_null("")
-    sizes = np.concatenate(([0], np.cumsum(pa.compute.binary_length(column).to_numpy(zero_copy_only=False))))
+    sizes = np.concatenate(([0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))))
     row = 0
     while row < len(column):
         stop = max(row + 1, int(np.searchsorted(sizes, sizes[row] + PIECE_BYTES, "right")) - 1)
