@@ -30,7 +30,7 @@ from searchloom.llm.rows import keys_of, texts_of, unused, with_text
 from searchloom.storage import written
 
 WHITE = b" \t\n\x0b\x0c\r"
-ROW = "key long, key2 long, id long, tag int, lines array<int>"
+ROW = "key long, key2 long, id long, tag long, lines array<int>"
 
 
 def _line_keys(min_chars: int):
@@ -164,7 +164,7 @@ def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     """
     gone = written(dropped_lines(docs, doc_id=doc_id, text=text, **options), "lines-gone").hint("merge")  # grows with the documents
     return texts_of(docs, doc_id, text).join(gone, ["id", "tag"], "left").select("id", "tag", "doc_id", "text", "gone").mapInArrow(
-        _bitmaps, "id long, tag int, doc_id long, text string, n_lines long, n_dropped long, keep binary"
+        _bitmaps, "id long, tag long, doc_id long, text string, n_lines long, n_dropped long, keep binary"
     )
 
 
@@ -185,7 +185,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_lines(bitmaps: DataFrame) -> DataFrame:
     """Apply keep bitmaps: ``id``, ``tag``, ``doc_id``, ``kept`` (the lines that stay), ``n_lines``, ``n_dropped``."""
-    return bitmaps.mapInArrow(_apply, "id long, tag int, doc_id long, kept string, n_lines long, n_dropped long")
+    return bitmaps.mapInArrow(_apply, "id long, tag long, doc_id long, kept string, n_lines long, n_dropped long")
 
 
 def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -15,14 +15,16 @@ from searchloom.llm import words as W
 
 def keys_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
     """The columns ``id`` and ``tag`` that name a row: see :func:`texts_of`."""
-    known = docs[doc_id].cast("long")
-    return F.coalesce(known, F.lit(0).cast("long")), F.hash(F.coalesce(docs[text], F.lit("")), known)
+    known, words = docs[doc_id].cast("long"), F.coalesce(docs[text], F.lit(""))
+    unknown = F.shiftrightunsigned(F.xxhash64(F.lit("no id"), words), 2).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(known, unknown), F.xxhash64(words, known)
 
 
 def texts_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, the text ("" for null) and ``id``, ``tag``, which together name a row.
 
-    ``tag`` hashes text and id, so rows that share an id, or have none, stay apart unless their
+    ``tag`` hashes text and id in 64 bits, and a row without an id gets another 62 bits of its text as
+    ``id`` (beyond all usual ids). So rows that share an id, or have none, stay apart unless their
     texts agree as well; such repeated rows are alike in every result. Other columns are left out.
     """
     id_, tag = keys_of(docs, doc_id, text)
@@ -73,7 +75,7 @@ def anchors(texts: DataFrame, k: int, span: int) -> DataFrame:
                     ["gram", "id", "tag", "at"],
                 )
 
-    return texts.select("id", "tag", "text").mapInArrow(find, "gram long, id long, tag int, at int")
+    return texts.select("id", "tag", "text").mapInArrow(find, "gram long, id long, tag long, at int")
 
 
 def range_hashes(hashes: np.ndarray, low: np.ndarray, high: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -82,7 +82,7 @@ def repeated_windows(docs: DataFrame, m: int = 35, doc_id: str = "doc_id", text:
 
     wide = (
         texts.join(survivors, KEY).select(*KEY, "text", "ats")
-        .mapInArrow(extend, "wide long, wide2 int, id long, tag int, at int")
+        .mapInArrow(extend, "wide long, wide2 int, id long, tag long, at int")
     )
     wide = written(wide, "substring-wide")
     groups = (
@@ -125,7 +125,7 @@ def repeated_windows(docs: DataFrame, m: int = 35, doc_id: str = "doc_id", text:
 
     exact = (
         texts.join(marked, KEY).select(*KEY, "text", "open").where(F.size("open") > 0)
-        .mapInArrow(windows, "window long, window2 int, id long, tag int, at int")
+        .mapInArrow(windows, "window long, window2 int, id long, tag long, at int")
     )
     exact = written(exact, "substring-windows")
     twice = exact.groupBy("window", "window2").count().where("count > 1").select("window", "window2")

@@ -32,7 +32,7 @@ from searchloom.llm.rows import anchors, covered, keys_of, lists, texts_of, unus
 from searchloom.storage import written
 
 KEY = ["id", "tag"]
-ENTRY = "gram long, context long, right binary, left binary, id long, tag int, at int"
+ENTRY = "gram long, context long, right binary, left binary, id long, tag long, at int"
 
 
 def _around(words: W.Words, hashes: np.ndarray, at: np.ndarray, text: np.ndarray, k: int, m: int):
@@ -169,7 +169,7 @@ def run_spans(
                     ["gram", "context", "id", "tag", "at", "y", "key"],
                 )
 
-    spelt = large.select(columns).mapInArrow(spell_out, "gram long, context long, id long, tag int, at int, y int, key long")
+    spelt = large.select(columns).mapInArrow(spell_out, "gram long, context long, id long, tag long, at int, y int, key long")
     heads = spelt.groupBy("gram", "y", "key").agg(F.count("*").alias("n"), F.min(F.struct("id", "tag", "at")).alias("head")).where("n > 1")
     y_later = F.when(F.struct("id", "tag", "at") != F.col("head"), F.col("y"))
     far = spelt.join(heads, ["gram", "y", "key"]).groupBy("gram", "context").agg(
