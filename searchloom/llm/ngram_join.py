@@ -120,7 +120,7 @@ def set_rows(texts: DataFrame, k: int, percent: int, with_text: bool = False, ho
                     names += ["prefix", "bits"]
                 yield pa.record_batch(columns, names)
 
-    schema = "doc_id long, id long, tag int, n int, s1 long, s2 long"
+    schema = "doc_id long, id long, tag long, n int, s1 long, s2 long"
     schema += ", body binary" * with_text + ", prefix array<long>, bits binary" * (hot is not None)
     return texts.select("doc_id", "id", "text", "tag").mapInArrow(find, schema)
 
@@ -299,17 +299,17 @@ def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int) -> DataFra
 
 
 def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``id``, ``tag``, ``n_shingles``, ``component_id``, ``first_of_group``.
+    """One row per row of ``docs``: ``doc_id``, ``id``, ``tag``, ``n_shingles``, ``component_id``, ``root``.
 
     ``component_id`` is the smallest id that links lead to, its own included; ``id`` and ``tag`` name the row as in
-    :func:`searchloom.llm.rows.texts_of`; ``first_of_group`` marks one document of each component.
+    :func:`searchloom.llm.rows.texts_of`; ``root`` names the component (null for empty sets).
     """
     texts = texts_of(docs, doc_id, text)
     context = docs.sparkSession.sparkContext
     hot = context.broadcast(frequent_shingles(texts, k))
     classes = written(
         set_rows(texts, k, percent, hot=hot).where("n > 0").groupBy(*SET).agg(
-            F.min("id").alias("node"), F.min("id").alias("least"), F.min("doc_id").alias("first"), F.min("prefix").alias("prefix"),
+            F.min("id").alias("node"), F.min("doc_id").alias("first"), F.min("prefix").alias("prefix"),
             F.min("bits").alias("bits"),
         ), "classes",
     )
@@ -349,23 +349,28 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
         )
         roots = components(links.unionByName(between))
 
-    named = classes.select(*SET, "node", "least", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.select(*SET, "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(named.join(smallest, "root").select(*SET, "node", "root", "least", "component_id"), "named")
+    named = written(named.join(smallest, "root").select(*SET, "root", "component_id"), "named")
     return set_rows(texts, k, percent).join(named, SET, "left").select(
-        "doc_id", "id", "tag", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce((F.col("node") == F.col("root")) & (F.col("id") == F.col("least")), F.lit(True)).alias("first_of_group"),
+        "doc_id", "id", "tag", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root",
     )
 
 
 def one_of_each_group(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one of smallest id; all columns stay as they are."""
-    found = similar_components(docs, k, percent, doc_id, text).where("first_of_group")
+    """``docs`` with one document of each component, the one of smallest id; all columns stay as they are.
+
+    A component is named by its root, so rows without an id, or with the same one, are lost only to a row they are
+    linked with. Repeated rows (same id and text) are one document; rows without a word all stay.
+    """
+    found = similar_components(docs, k, percent, doc_id, text).where("n_shingles > 0")
     id_, tag = unused(docs, "id", "tag")
-    stays = written(found.groupBy("component_id", "id", "n_shingles").agg(F.min("tag").alias("tag")), "stays")
-    stays = stays.select(F.col("id").alias(id_), F.col("tag").alias(tag)).distinct()
+    stays = written(found.groupBy("root").agg(F.min(F.struct("id", "tag")).alias("row")), "stays")
+    stays = stays.select(F.col("row.id").alias(id_), F.col("row.tag").alias(tag))
     keys = docs.withColumns(dict(zip((id_, tag), keys_of(docs, doc_id, text), strict=True)))
-    return keys.join(stays.hint("merge"), [id_, tag], "left_semi").dropDuplicates([id_, tag]).select(*(f"`{c}`" for c in docs.columns))
+    worded = F.coalesce(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    chosen = keys.where(worded).join(stays.hint("merge"), [id_, tag], "left_semi").dropDuplicates([id_, tag])
+    return chosen.unionByName(keys.where(~worded)).select(*(f"`{c}`" for c in docs.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:
