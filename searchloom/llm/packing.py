@@ -6,7 +6,8 @@ one task) and each group is packed into ``k`` windows: every rest starts as a pa
 filled window and ``k - 1`` empty ones; the two partial partitions with the largest imbalance are merged again and
 again, the fullest window of one with the emptiest of the other, until one is left, whose windows are nearly equal.
 ``k`` begins at the least count that could hold the group and rises whenever a window exceeds the capacity.
-Each piece carries its ids (``ids``, four little-endian bytes each), so sequences can be written from the result.
+Only places are packed; on request (``with_ids``) each piece carries its ids (``ids``, four little-endian bytes each)
+through the packing, so that sequences can be written from the result.
 
 Defined cases: null or empty text has only the end id; repeated rows are packed as often as they occur; a null id is
 kept as null; an empty table gives an empty result. Other columns are not read.
@@ -30,6 +31,7 @@ from searchloom.storage import written
 WINDOW = 4096
 END_ID = 2
 GROUP = 512
+PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
@@ -79,7 +81,8 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def pieces(
-    docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False,
+    doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Each document's ids, with the end id, cut into whole windows and a rest; one row per piece."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
@@ -99,23 +102,25 @@ def pieces(
                     lengths.append(len(part) // 4)
                     checks.append(zlib.crc32(part))
                     totals.append(n)
-                    bodies.append(bytes(part))
-            yield pa.record_batch(
-                [
-                    batch.column(0).take(pa.array(rows, pa.int32())),
-                    *(pa.array(c, pa.int64()) for c in (starts, lengths, checks, totals)), pa.array(bodies, pa.binary()),
-                ],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"],
-            )
-
-    return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
-        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
-    )
-
-
-def packed(docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW, end_id: int = END_ID, **columns: str) -> DataFrame:
+                    if with_ids:
+                        bodies.append(bytes(part))
+            columns = [
+                batch.column(0).take(pa.array(rows, pa.int32())),
+                *(pa.array(c, pa.int64()) for c in (starts, lengths, checks, totals)),
+                *([pa.array(bodies, pa.binary())] if with_ids else []),
+            ]
+            yield pa.record_batch(columns, names)
+
+    schema = PIECE + ", ids binary" * with_ids
+    names = [column.split()[0] for column in schema.split(", ")]
+    return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(cut, schema)
+
+
+def packed(
+    docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, **columns: str
+) -> DataFrame:
     """Pieces with their place: ``sequence_id`` and ``offset`` there, gapless from 0; ``ids`` as in :func:`pieces`."""
-    table = written(pieces(docs, path, window, end_id, **columns), "pieces")
+    table = written(pieces(docs, path, window, end_id, with_ids, **columns), "pieces")
     groups = max(1, -(-table.count() // GROUP))
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
@@ -126,15 +131,14 @@ def packed(docs: DataFrame, path: str = WORD_BPE, window: int = WINDOW, end_id:
         sequence[full:] = full + pack(sizes[full:], window)
         group["sequence_id"] = (group["dealt"].to_numpy().astype(np.int64) << 24) + sequence
         group["offset"] = group.groupby("sequence_id")["length"].cumsum() - group["length"]
-        return group[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]]
+        return group.drop(columns="dealt")
 
     dealt = table.withColumn("dealt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
     return dealt.groupBy("dealt").applyInPandas(
-        place,
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary",
+        place, PIECE + ", ids binary" * with_ids + ", sequence_id long, offset long"
     )
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The rows of query op4."""
-    return packed(docs).drop("ids")
+    return packed(docs)

@@ -22,7 +22,7 @@ def test_quality_rules_return_the_text_without_bad_lines(spark, docs, rows):
 
 def test_packed_sequences_hold_their_ids(docs, rows):
     sequences, found = {}, {}
-    for r in packing.packed(docs).orderBy("sequence_id", "offset").collect():
+    for r in packing.packed(docs, with_ids=True).orderBy("sequence_id", "offset").collect():
         ids = np.frombuffer(r.ids, "<u4").tolist()
         held = sequences.setdefault(r.sequence_id, [])
         assert len(ids) == r.length and len(held) == r.offset
