@@ -9,7 +9,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import bpe_automaton, id_files, line_dedup, merkle, ngram_join, packing, qda, quality_rules, substring_dedup, suffix_dedup
+from searchloom.llm import (
+    bpe_automaton, filter_audit, id_files, line_dedup, merkle, ngram_join, packing, qda, quality_rules, resampling, substring_dedup,
+    suffix_dedup,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -159,6 +162,95 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH b AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS steps
+), d AS (
+  SELECT doc_id AS id, true AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT item_id, false, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), f AS (
+  SELECT id, source, unnest(words) AS feature FROM d
+  UNION ALL
+  SELECT id, source, unnest(list_transform(range(1, len(words)), lambda p: words[p] || ' ' || words[p + 1])) FROM d
+), u AS (
+  SELECT id, source, feature, count(*) AS n FROM f GROUP BY ALL
+), h AS (
+  SELECT feature, xor(list_reduce(list_transform(range(length(hex(encode(feature))) // 2),
+             lambda p: CAST('0x' || hex(encode(feature))[2 * p + 1:2 * p + 2] AS BIGINT)),
+             lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM u), b
+), c AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE source), 0) AS s, coalesce(sum(n) FILTER (WHERE NOT source), 0) AS t
+  FROM u JOIN h USING (feature) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS gain FROM c
+), m AS (
+  SELECT id, sum(n) AS n, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS mean
+  FROM u JOIN h USING (feature) JOIN g USING (bucket) WHERE source GROUP BY id
+), w AS (
+  SELECT id AS doc_id, len(words) >= 20 AS able, coalesce(m.n, 0) AS n_features, coalesce(mean, 0) AS weight,
+         CAST('0x' || sha256('7:' || id)[1:8] AS BIGINT) AS h
+  FROM d LEFT JOIN m USING (id) WHERE source
+), v AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM w
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS total FROM v WHERE able
+)
+SELECT v.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN 100 * rank <= 25 * total THEN rank END AS rank
+FROM v LEFT JOIN r USING (doc_id)
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), f AS (
+  SELECT part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) IS TRUE AS good,
+         doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) IS TRUE AS toxic FROM t
+), g AS (
+  SELECT part, good, toxic, concat(if(a, 'A', ''), if(b, 'B', ''), if(c, 'C', ''), if(d, 'D', ''), if(e, 'E', '')) AS fails, count(*) AS n
+  FROM f GROUP BY ALL
+), l AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT concat(p.x, q.x, r.x, s.x, t.x) AS filter_order FROM l p, l q, l r, l s, l t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), u AS (
+  SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS earlier
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM o)
+), v AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, length(fails) AS k, contains(fails, letter) AS mine,
+         length(translate(fails, earlier, '')) < length(fails) AS gone FROM g, u
+), w AS (
+  SELECT part, filter_order, step, letter, sum(n) FILTER (WHERE NOT gone AND NOT mine) AS kept, sum(n) FILTER (WHERE mine AND NOT gone) AS removed,
+         sum(n) FILTER (WHERE mine AND gone) AS redundant, sum(n) FILTER (WHERE mine AND k = 1) AS unique_fails,
+         sum(n) FILTER (WHERE mine AND NOT gone AND good) AS good_lost, sum(n) FILTER (WHERE mine AND NOT gone AND toxic) AS toxic_lost
+  FROM v GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM w
+"""
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -171,10 +263,14 @@ QUERIES: dict[str, Query] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op13_filter_audit": op13_filter_audit,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_quality_rules": OP2_SQL,
     "op3_ngram_join": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op11_importance_resampling": OP11_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
