@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from searchloom.llm import (
-    bpe_automaton, filter_audit, id_files, line_dedup, merkle, ngram_join, packing, qda, quality_rules, resampling, substring_dedup,
-    suffix_dedup,
+    bpe_automaton, filter_audit, id_files, line_dedup, merkle, minhash_dedup, ngram_join, packing, qda, quality_rules, resampling,
+    substring_dedup, suffix_dedup,
 )
 
 
@@ -209,6 +209,15 @@ FROM v LEFT JOIN r USING (doc_id)
 """
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+SELECT *, doc_id = component_id AS kept FROM ({OP3_SQL.replace("len(words) < 4", "len(words) < 5").replace("words[p:p + 3]", "words[p:p + 4]").replace("len(words) - 3", "len(words) - 4")})
+"""
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -264,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_minhash_dedup": op12_minhash_dedup,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLES: dict[str, str] = {
@@ -272,5 +282,6 @@ ORACLES: dict[str, str] = {
     "op3_ngram_join": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
     "op11_importance_resampling": OP11_SQL,
+    "op12_minhash_dedup": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }
