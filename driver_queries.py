@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import driver_tables as given
 from searchloom.functions import models, urls
 from searchloom.operators import (
-    crawl_stats, fanout, links, rag, ranking, reach, textindex, vectors,
+    cells, crawl_stats, fanout, links, rag, ranking, reach, textindex, vectors,
 )
 from searchloom.plans import jobs
 from searchloom.sources import csv_logs, documents, index_text, query_sets, ranked_lists, records
@@ -696,22 +696,16 @@ def vec_embed(spark, sf_dir):
 
 
 def _vector_query(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """All vectors, and as queries the first vector of each label."""
-    stored = given.table(spark, sf_dir, "embeddings")
-    first = stored.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("vector"), F.min("vec_id").alias("query_id"))
-    return (
-        stored.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")),
-        first.select("query_id", "vector"),
-    )
+    """All vectors, and as queries every row whose id is divisible by 50."""
+    stored = given.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return stored, stored.where(F.col("id") % 50 == 0).select(F.col("id").alias("query_id"), "vector")
 
 
-@compared("""WITH q AS (SELECT e.* FROM embeddings e JOIN (
-  SELECT label, min(vec_id) AS vec_id FROM embeddings GROUP BY label) USING (vec_id)),
-s AS (SELECT q.vec_id AS query_id, e.vec_id AS id,
+@compared("""WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id,
     list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS score
-  FROM q, embeddings e WHERE q.vec_id <> e.vec_id)
+  FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0 AND q.vec_id <> e.vec_id)
 SELECT query_id, CAST(r AS INTEGER) AS rank, id, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS r FROM s) WHERE r <= 3""")
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) AS r FROM s) WHERE r <= 3""")
 def vec_topk(spark, sf_dir):
     found = vectors.nearest(*_vector_query(spark, sf_dir), k=3, exclude_self=True)
     return _rounded(found, "score")
@@ -719,11 +713,9 @@ def vec_topk(spark, sf_dir):
 
 @compared(None)
 def vec_topk_lsh(spark, sf_dir):
-    """Every row whose id is divisible by 50 against all rows."""
-    stored, _ = _vector_query(spark, sf_dir)
-    asked = stored.where(F.col("id") % 50 == 0).select(F.col("id").alias("query_id"), "vector")
-    found = vectors.nearest_approximate(stored, asked, k=3, exclude_self=True)
-    return _rounded(found, "score")
+    """The same questions, answered by the inverted file: approximate."""
+    stored, asked = _vector_query(spark, sf_dir)
+    return _rounded(cells.search(cells.build(stored), asked, k=3, exclude_self=True), "score")
 
 
 CHUNKS_SQL = """words AS (SELECT doc_id,
@@ -776,6 +768,14 @@ def rag_context(spark, sf_dir):
     )
 
 
+@compared(None)
+def rag_context_index(spark, sf_dir):
+    """The same job with the inverted file in place of the exact search: approximate."""
+    return jobs.retrieval(
+        given.documents(spark, sf_dir), given.table(spark, sf_dir, "conversations"), models.hashed_terms(64), recall=0.95
+    )
+
+
 # ---- fan-out --------------------------------------------------------------
 
 def _short_only(prompt: str) -> str:
