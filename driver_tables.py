@@ -97,5 +97,21 @@ def page_edges(spark, sf_dir, first_link_weight: int = 1) -> DataFrame:
     return found.select(F.inline(ends)).distinct()
 
 
+WALKED = "https://www.example.com/page/"
+
+
+def walked_site(spark, sf_dir) -> DataFrame:
+    """Pages as responses of one site that link to each other: by number, with redirects, missing pages and other types."""
+    n = F.col("page_id")
+    more = F.concat(F.lit('<a href="'), 2 * n + 1, F.lit('"><a href="/page/'), 2 * n + 2, F.lit('">'))
+    to = F.when(n % 4 == 0, F.concat(F.lit("/page/"), n + 1)).otherwise(F.concat(F.lit(WALKED), n - n % 10 + 3 + n % 3 * 5))
+    return pages(spark, sf_dir).select(
+        "page_id", F.concat(F.lit(WALKED), n).alias("url"), F.concat("html", more).alias("html"),
+        F.when(n % 5 == 3, "301").when(n % 11 == 10, "404").otherwise("200").alias("status"),
+        F.when(n % 7 == 6, "application/pdf; version=1.7").otherwise("text/html; charset=utf-8").alias("content_type"),
+        F.when(n % 5 == 3, to).alias("location"),
+    )
+
+
 def seed_page(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "pages").where(F.col("page_id") == 0).select("url")

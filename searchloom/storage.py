@@ -50,3 +50,35 @@ def spread_out(table: DataFrame) -> DataFrame:
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
     return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
+class Placed:
+    """A table in the shared folder, bucketed by a column, so that joins and groupings on it need no shuffle of it.
+
+    There are as many buckets as shuffle partitions, which the other side of a join then has too. ``by`` divides
+    the table into folders; :meth:`append` adds rows. The session's catalog knows the table, the files outlive it.
+    """
+
+    def __init__(self, rows: DataFrame, key: str, name: str, by: str | None = None):
+        self.spark, self.key, self.by = rows.sparkSession, key, by
+        self.path = new_path(self.spark, name)
+        self.name = f"searchloom_{name}_{uuid.uuid4().hex}".replace("-", "_")
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.schema = rows.schema
+        self.append(rows.repartition(self.buckets, key))
+
+    def append(self, rows: DataFrame) -> None:
+        """Add rows, best those that a join or grouping on the key has just dealt out: each task then writes few buckets."""
+        writer = rows.write.mode("append").option("path", self.path)
+        writer = writer.bucketBy(self.buckets, self.key).sortBy(self.key)
+        (writer.partitionBy(self.by) if self.by else writer).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        """The table with its buckets."""
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
+
+    def files(self) -> DataFrame:
+        """The rows as plain files; the table leaves the catalog."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        return self.spark.read.schema(self.schema).parquet(self.path)

@@ -2,9 +2,11 @@ import random
 from collections import deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from searchloom.operators.ordered import first_rows
-from searchloom.operators.reach import reach
+from searchloom.operators.reach import Links, new_pages, reach, redirect_closure
+from searchloom.storage import Placed
 
 
 def brute_force(edges, seeds, max_depth, max_pages):
@@ -54,3 +56,50 @@ def test_first_rows_without_a_single_task(spark, limit):
     df = spark.createDataFrame([(v,) for v in values], "v int").repartition(4)
     got = sorted(r.v for r in first_rows(df, ["v"], limit, small=0 if limit else 10).collect())
     assert got == sorted(values)[:limit]
+
+
+def closed(pairs):
+    pairs = set(pairs)
+    while True:
+        more = pairs | {(a, d) for a, b in pairs for c, d in pairs if b == c}
+        if more == pairs:
+            return {(a, b) for a, b in pairs if a != b}
+        pairs = more
+
+
+@pytest.mark.parametrize("pairs", [
+    [("a", "a")], [("a", "b"), ("b", "a")], [(f"n{k:03d}", f"n{k + 1:03d}") for k in range(70)],
+    [("a", "b"), ("b", "c"), ("c", "d"), ("d", "b"), ("x", "c"), ("x", "y")], [(f"p{k}", "login") for k in range(50)] + [("login", "home"), ("login", None)],
+])
+def test_redirects_are_closed(spark, pairs):
+    df = spark.createDataFrame(pairs, "src string, dst string")
+    found = [(r.src, r.dst) for r in redirect_closure(df).collect()]
+    assert len(found) == len(set(found)) and set(found) == closed(p for p in pairs if None not in p)
+    assert redirect_closure(df.where("false")).isEmpty()
+
+
+def test_a_circle_of_redirects(spark):
+    edges = [(f"r{k}", f"r{(k + 1) % 40}", 0) for k in range(40)] + [("start", "r7", 1), ("r20", "deep", 1), ("deep", "r1", 0), ("deep", "end", 1)]
+    df = spark.createDataFrame(edges, "src string, dst string, weight int")
+    got = found(reach(df, spark.createDataFrame([("start",)], "url string")))
+    assert got == brute_force(edges, ["start"], 100, 1000)
+
+
+@pytest.mark.parametrize("per_part", [5, 1000])
+def test_a_step_shuffles_only_the_targets(spark, per_part):
+    """No exchange below or beside the links and the visited pages; for large pages' links, only the few pages are sent."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.createDataFrame([("a", f"n{k}") for k in range(20)] + [("n1", "a"), ("n2", "z")], "src string, dst string")
+        links = Links(edges, per_part)
+        visited = Placed(spark.createDataFrame([("a", 0)], "url string, depth int"), "url", "visited", by="depth")
+        visited.append(spark.createDataFrame([(f"n{k}", 1) for k in range(20)], "url string, depth int"))
+        step = new_pages(links.targets(visited.read().where(F.col("depth") == 1)), visited.read())
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Bucketed: true") >= 3
+        assert plan.count("BroadcastExchange") == (2 if per_part == 5 else 0)
+        assert {r.url for r in step.collect()} == {"z"}
+        assert visited.files().count() == 21
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
