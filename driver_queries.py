@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import driver_tables as given
-from searchloom.functions import models, urls
+from searchloom.functions import html, models, urls
 from searchloom.operators import (
     cells, crawl_stats, fanout, links, rag, ranking, reach, textindex, vectors,
 )
@@ -173,6 +174,34 @@ def src_ranked_json(spark, sf_dir):
     return ranking.list_rows(ranked_lists.read_ranked_lists(spark, path))
 
 
+@compared("""WITH v AS (SELECT page_id, url, CASE page_id % 5 WHEN 0 THEN 'x' ELSE '' END AS unit FROM pages),
+r AS (SELECT url, page_id || unit || ',7,text/html' || CASE page_id % 7 WHEN 0 THEN ',more' ELSE '' END AS rest, page_id % 5 = 0 OR page_id % 7 = 0 AS bad, page_id FROM v)
+SELECT 'visit' AS source, bad, CASE WHEN bad THEN url || ',' || rest ELSE url || ' ' || page_id END AS entry FROM r
+UNION ALL SELECT 'lists', page_id % 5 = 0, CASE WHEN page_id % 5 = 0 THEN '{"' || page_id || '": ["' || url || '"' ELSE page_id || ' ' || url END FROM pages
+UNION ALL SELECT 'lists', true, '{"n": ' || page_id || '}' FROM pages WHERE page_id % 7 = 0""")
+def src_bad_rows(spark, sf_dir):
+    """Logs and ranked lists with broken rows: what is read, and what is set aside."""
+    n, url = F.col("page_id"), F.col("url")
+    pages = given.table(spark, sf_dir, "pages")
+    size = F.concat(n, F.when(n % 5 == 0, "x").otherwise(""))
+    more = F.when(n % 7 == 0, ",more").otherwise("")
+    visits, lists = new_path(spark, "bad-visits"), new_path(spark, "bad-lists")
+    header = spark.createDataFrame([(",".join(csv_logs.VISIT_LOG.names),)], "value string").coalesce(1)
+    rows = pages.select(F.concat(url, F.lit(","), size, F.lit(",7,text/html"), more).alias("value")).coalesce(1)
+    header.unionByName(rows).coalesce(1).write.text(visits)
+    broken = F.concat(F.lit('{"'), n, F.lit('": ["'), url, F.lit('"'), F.when(n % 5 == 0, "").otherwise("]}"))
+    lines = F.array_compact(F.array(broken, F.when(n % 7 == 0, F.concat(F.lit('{"n": '), n, F.lit("}")))))
+    pages.select(F.explode(lines)).write.text(lists)
+    good = csv_logs.read_log(spark, "visit", visits, bad_rows="drop").select(F.concat_ws(" ", "url", "size"))
+    ranked = ranking.list_rows(ranked_lists.read_ranked_lists(spark, lists, bad_rows="drop")).select(F.concat_ws(" ", "query", "url"))
+    parts = [
+        ("visit", False, good), ("visit", True, csv_logs.bad_log_rows(spark, "visit", visits).select("row")),
+        ("lists", False, ranked), ("lists", True, ranked_lists.bad_ranked_lists(spark, lists).select("row")),
+    ]
+    named = [rows.toDF("entry").select(F.lit(source).alias("source"), F.lit(bad).alias("bad"), "entry") for source, bad, rows in parts]
+    return reduce(DataFrame.unionByName, named)
+
+
 @compared(f"""WITH {RANKED_SQL}
 SELECT query, CAST(to_json(list(url ORDER BY rank)) AS VARCHAR) AS results FROM b GROUP BY query""")
 def serp_collect(spark, sf_dir):
@@ -395,9 +424,8 @@ def links_resolve(spark, sf_dir):
         "phone": F.concat(F.lit("tel:"), F.col("page_id")),
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("form"), v.alias("link")) for k, v in forms.items()])
-    found = links.anchors(given.pages(spark, sf_dir)).join(
-        given.table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url")), "page_id"
-    )
+    hrefs = F.posexplode(html.anchor_hrefs(F.col("html"))).alias("pos", "href")
+    found = given.pages(spark, sf_dir).select("page_id", F.col("url").alias("page_url"), hrefs)
     rows = found.select("page_id", "page_url", "pos", F.inline(pairs))
     return rows.select(
         "page_id", "pos", "form", urls.resolve(F.col("page_url"), F.col("link")).alias("url")
@@ -552,7 +580,7 @@ def url_uniques(spark, sf_dir):
     return crawl_stats.url_uniques(links.exploded_links(linked).withColumnRenamed("link", "url"), "example.com")
 
 
-@compared(f"""WITH {RESPONSES_SQL}, uniques AS (SELECT {UNIQUES_SQL} FROM url_rows),
+REPORT_SQL = f"""WITH {RESPONSES_SQL}, uniques AS (SELECT {UNIQUES_SQL} FROM url_rows),
 sized AS (SELECT CASE WHEN size < 1024 THEN 0 WHEN size < 10240 THEN 1 WHEN size < 102400 THEN 2
     WHEN size < 1048576 THEN 3 ELSE 4 END AS bucket, count(*) AS n FROM visits GROUP BY ALL),
 statuses AS (SELECT status, count(*) AS n FROM responses GROUP BY status),
@@ -567,12 +595,28 @@ UNION ALL SELECT 1, 'Outgoing URLs:', 3, '# unique URLs outside News Site', n_ou
 UNION ALL SELECT 2, 'Status Codes:', row_number() OVER (ORDER BY status) - 1, status, n FROM statuses
 UNION ALL SELECT 3, 'File Sizes:', row_number() OVER (ORDER BY bucket) - 1,
   ['< 1KB', '1KB ~ <10KB', '10KB ~ <100KB', '100KB ~ <1MB', '>= 1MB'][bucket + 1], n FROM sized
-UNION ALL SELECT 4, 'Content Types:', row_number() OVER (ORDER BY content_type) - 1, content_type, n FROM types""")
+UNION ALL SELECT 4, 'Content Types:', row_number() OVER (ORDER BY content_type) - 1, content_type, n FROM types"""
+
+
+@compared(REPORT_SQL)
 def crawl_report(spark, sf_dir):
     logs = _logs(spark, sf_dir)
     return crawl_stats.crawl_report(logs.fetch, logs.visit, logs.urls, "example.com")
 
 
+@compared(f"""WITH report AS ({REPORT_SQL}), lines AS (
+  SELECT -1 AS section_no, 0 AS pos, 0 AS part, 'News site crawled: example.com' AS line UNION ALL SELECT -1, 1, 0, 'Number of threads: 4'
+  UNION ALL SELECT DISTINCT section_no, -1, unnest([0, 1, 2]), unnest(['', section, repeat('=', length(section))]) FROM report
+  UNION ALL SELECT section_no, pos, 0, metric || ': ' || value FROM report)
+SELECT row_number() OVER (ORDER BY section_no, pos, part) - 1 AS line_no, line FROM lines""")
+def crawl_report_text(spark, sf_dir):
+    """The report's text file, line by line."""
+    path = new_path(spark, "report")
+    lines = crawl_stats.report_lines(crawl_report(spark, sf_dir), site="example.com", threads=4)
+    csv_logs.write_report(lines, path)
+    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
+
+
 # ---- reach ----------------------------------------------------------------
 
 def _reach_sql(first_link_weight: int, depth: int, limit: str = "") -> str:
@@ -817,7 +861,7 @@ def _short_only(prompt: str) -> str:
     return str(len(prompt))
 
 
-MODELS = {"lower": str.lower, "length": _short_only}
+MODELS = {"lower": models.BatchModel(lambda prompts: [p.lower() for p in prompts], 16), "length": _short_only}
 ANSWERS_SQL = """answers AS (
   SELECT item_id AS prompt_id, 'lower' AS model, lower(text) AS response, NULL AS error FROM benchmark WHERE text <> ''
   UNION ALL SELECT item_id, 'length', CASE WHEN length(text) <= 250 THEN length(text)::VARCHAR END,
@@ -832,7 +876,7 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @compared(f"WITH {ANSWERS_SQL} SELECT prompt_id, model, response, error FROM answers")
 def model_fanout(spark, sf_dir):
-    return models.answers(_prompts(spark, sf_dir), MODELS)
+    return models.answers(_prompts(spark, sf_dir), MODELS, concurrency=4)
 
 
 @compared(f"""WITH {ANSWERS_SQL} SELECT prompt_id,

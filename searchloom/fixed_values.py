@@ -55,6 +55,7 @@ VALID_LABEL, INVALID_LABEL = "OK", "N_OK"
 REPORT_SECTIONS = (
     "Fetch Statistics", "Outgoing URLs:", "Status Codes:", "File Sizes:", "Content Types:",
 )
+REPORT_HEAD = ("News site crawled", "Number of threads")
 FETCH_LINES = ("# fetches attempted", "# fetches succeeded", "# fetches failed or aborted")
 URL_LINES = (
     "Total URLs extracted",
@@ -69,7 +70,6 @@ MAX_PAGES = 20000
 MAX_DEPTH = 16
 INDEX_PART_FILES = 5
 NEAREST_LIMIT = 20
-INGEST_BATCH = 100
 
 # URL schemes as the standard URL library groups them.
 SCHEMES_WITH_RELATIVE_LINKS = (

@@ -7,12 +7,12 @@ are read off the histograms.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from searchloom import fixed_values as fixed
 from searchloom.functions import urls
 from searchloom.operators.links import outcome
+from searchloom.operators.ordered import numbered
 from searchloom.storage import written
 
 
@@ -141,9 +141,8 @@ def _named(row: DataFrame, names: dict[str, str], first: int = 0) -> DataFrame:
 
 
 def _numbered(histogram: DataFrame, metric: str, order: str) -> DataFrame:
-    """A histogram has a handful of rows, so one window numbers its lines."""
-    place = F.row_number().over(W.orderBy(order)) - 1
-    return histogram.select(place.alias("pos"), F.col(metric).alias("metric"), F.col("n").alias("value"))
+    """Lines of a histogram in order; of any length, as statuses and types come from outside."""
+    return numbered(histogram, [order]).select("pos", F.col(metric).alias("metric"), F.col("n").alias("value"))
 
 
 def crawl_report(fetches: DataFrame, visits: DataFrame, url_rows: DataFrame, site: str) -> DataFrame:
@@ -170,17 +169,24 @@ def crawl_report(fetches: DataFrame, visits: DataFrame, url_rows: DataFrame, sit
     return report
 
 
-def report_lines(report: DataFrame) -> DataFrame:
-    """``(section_no, pos, value)``: title, rule and ``name: figure`` lines in text form."""
+def report_lines(report: DataFrame, site: str | None = None, threads: int | None = None) -> DataFrame:
+    """``(section_no, pos, value)``: title, rule and ``name: figure`` lines in text form.
+
+    Lines with the crawled ``site`` and the number of ``threads`` come first where they are given.
+    """
+    given = [(name, value) for name, value in zip(fixed.REPORT_HEAD, (site, threads), strict=True) if value is not None]
+    head = report.sparkSession.createDataFrame(
+        [(-1, pos, f"{name}: {value}") for pos, (name, value) in enumerate(given)], "section_no int, pos int, value string"
+    )
     titles = report.select("section_no", "section").distinct().select(
         "section_no",
         F.lit(-1).alias("pos"),
         F.concat(
-            F.when(F.col("section_no") > 0, "\n").otherwise(""),
+            F.when((F.col("section_no") > 0) | F.lit(bool(given)), "\n").otherwise(""),
             F.col("section"), F.lit("\n"), F.repeat(F.lit("="), F.length("section")),
         ).alias("value"),
     )
     figures = report.select(
         "section_no", "pos", F.concat_ws(": ", "metric", F.col("value").cast("string")).alias("value")
     )
-    return titles.unionByName(figures)
+    return head.unionByName(titles).unionByName(figures)

@@ -34,3 +34,19 @@ def first_rows(df: DataFrame, order: list[str], limit: int, small: int = SMALL_L
     place = F.row_number().over(W.partitionBy("_range").orderBy(*order))
     part = table.where(F.col("_range") == boundary).withColumn("_place", place)
     return whole.unionByName(part.where(F.col("_place") <= left).drop("_place")).drop("_range")
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
+    """``df`` with ``name``: each row's place, from 0, in a global ``order`` (which must be a total order).
+
+    Rows are written in ranges and numbered inside them; a range begins at the sum of the counts before it.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    table, offset, offsets = written(ranged, "ordered"), 0, []
+    for row in table.groupBy("_range").count().orderBy("_range").collect():  # one row per range
+        offsets.append((row["_range"], offset))
+        offset += row["count"]
+    begins = df.sparkSession.createDataFrame(offsets, "_range int, _begin long")
+    place = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
+    placed = table.withColumn("_place", place).join(F.broadcast(begins), "_range")
+    return placed.withColumn(name, F.col("_begin") + F.col("_place")).drop("_range", "_place", "_begin")

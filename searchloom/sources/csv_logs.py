@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -31,18 +32,50 @@ _DIALECT = {
 }
 
 
-def read_log(spark: SparkSession, kind: str, path: str, multi_line: bool = False) -> DataFrame:
-    """Read a ``fetch``, ``visit`` or ``urls`` log; the first row of a file is its header.
+_BAD = "_bad_row"
+
+
+def _parsed(spark: SparkSession, kind: str, path: str, multi_line: bool) -> DataFrame:
+    """The fields as text, and ``_bad_row``: the text of a row that isn't as it should be.
 
-    ``multi_line`` is needed only if values contain line breaks; such files
-    cannot be split among tasks.
+    Spark judges only the fields that a query asks for, so whole numbers are tested here, and all fields are read.
     """
     schema, _ = _HEADERS[kind]
-    return (
-        spark.read.schema(schema).options(**_DIALECT)
-        .option("header", True).option("enforceSchema", True).option("multiLine", multi_line)
-        .csv(path).fillna("", [f.name for f in schema.fields if f.dataType == T.StringType()])
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(_BAD, T.StringType())])
+    rows = (
+        spark.read.schema(texts).options(**_DIALECT).option("header", True).option("enforceSchema", True)
+        .option("multiLine", multi_line).option("columnPruning", False)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(path)
     )
+    numbers = [f for f in schema.fields if f.dataType != T.StringType()]
+    wrong = reduce(lambda a, b: a | b, (
+        (F.col(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull() for f in numbers
+    ), F.length(schema.names[0]) < 0)  # never so, but a query must not ask for the bad rows' text alone
+    text = F.coalesce(_BAD, F.when(wrong, F.concat_ws(",", *schema.names)))
+    return rows.select("*", F.col("_metadata.file_name").alias("_file")).withColumn(_BAD, text)
+
+
+def read_log(spark: SparkSession, kind: str, path: str, multi_line: bool = False, bad_rows: str = "fail") -> DataFrame:
+    """Read a ``fetch``, ``visit`` or ``urls`` log; the first row of a file is its header.
+
+    A row with a figure that is no number, or with too few or too many fields, ends the job with its text. With
+    ``bad_rows="drop"`` such rows are left out; :func:`bad_log_rows` lists them. ``multi_line`` is needed only if values
+    contain line breaks; such files cannot be split among tasks.
+    """
+    if bad_rows not in ("fail", "drop"):
+        raise ValueError(f"bad_rows is fail or drop, not {bad_rows}")
+    schema, _ = _HEADERS[kind]
+    good = F.col(_BAD).isNull()
+    if bad_rows == "fail":
+        good = F.when(good, True).otherwise(F.raise_error(F.concat(F.lit(f"a bad row in the {kind} log: "), _BAD)).cast("boolean"))
+    rows = _parsed(spark, kind, path, multi_line).where(good)
+    columns = [F.col(f.name) if f.dataType == T.StringType() else F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return rows.select(*columns).fillna("", [f.name for f in schema.fields if f.dataType == T.StringType()])
+
+
+def bad_log_rows(spark: SparkSession, kind: str, path: str, multi_line: bool = False) -> DataFrame:
+    """``(file, row)``: the rows of a log that :func:`read_log` refuses."""
+    return _parsed(spark, kind, path, multi_line).where(F.col(_BAD).isNotNull()).select(F.col("_file").alias("file"), F.col(_BAD).alias("row"))
 
 
 def _write_csv(df: DataFrame, header: Sequence[str], path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchloom.functions.models import Vectorizer, embed
+from searchloom.functions.models import TermVectors, Vectorizer, with_vectors
 
 # Field names in the file, and in the table.
 FIELDS = {
@@ -42,13 +42,13 @@ def renamed(records: DataFrame) -> DataFrame:
     return records.select(*FIELDS).withColumnsRenamed(FIELDS)
 
 
-def replace_table(records: DataFrame, path: str, vectorizer: Vectorizer) -> DataFrame:
+def replace_table(records: DataFrame, path: str, vectorizer: Vectorizer | TermVectors) -> DataFrame:
     """Replace the table at ``path`` by the records with a vector each; return it read back.
 
-    Texts reach the vectorizer in Arrow batches
+    Texts reach a callable in Arrow batches
     (``spark.sql.execution.arrow.maxRecordsPerBatch``).
     """
     fields = list(FIELDS.values())
-    table = renamed(records).withColumn("vector", embed(F.concat_ws(" ", *fields), vectorizer))
+    table = with_vectors(renamed(records), F.concat_ws(" ", *fields), vectorizer)
     table.write.mode("overwrite").parquet(path)
     return records.sparkSession.read.schema(table.schema).parquet(path)

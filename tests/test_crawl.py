@@ -139,3 +139,21 @@ def test_report(spark, logs, tmp_path):
     assert sum(v for (s, _), v in value.items() if s == 2) == value[0, fixed.FETCH_LINES[0]]
     assert sum(v for (s, _), v in value.items() if s == 3) == sum(v for (s, _), v in value.items() if s == 4)
     assert value[1, fixed.URL_LINES[1]] == value[1, fixed.URL_LINES[2]] + value[1, fixed.URL_LINES[3]]
+
+
+def test_report_with_its_head(spark, logs, tmp_path):
+    report = crawl_stats.crawl_report(logs.fetch, logs.visit, logs.urls, "s.com")
+    csv_logs.write_report(crawl_stats.report_lines(report, site="s.com", threads=4), str(tmp_path / "report"))
+    (part,) = (tmp_path / "report").glob("part-*")
+    assert part.read_text().splitlines()[:5] == ["News site crawled: s.com", "Number of threads: 4", "", "Fetch Statistics", "================"]
+
+
+def test_a_histogram_of_any_length_is_numbered_in_ranges(spark):
+    from searchloom.operators.ordered import numbered
+
+    names = [f"type/{k:05d}" for k in range(3000)]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "content_type string, n int").repartition(6)
+    assert sorted((r.pos, r.content_type) for r in numbered(df, ["content_type"]).collect()) == list(enumerate(names))
+    assert numbered(df.where("false"), ["content_type"]).isEmpty()
+    plan = crawl_stats._numbered(df, "content_type", "content_type")._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_range" in plan
