@@ -12,7 +12,8 @@ document stops as soon as all its slots are: long texts after one or two steps.
    (far below what 0.85 allows: dropped) and then the full sets decide; links are united by pointer jumping.
 4. Buckets in which several components are left: a second star around the class with the most links.
 5. Where components still meet, their classes are compared in tiles of 512, all that aren't in the bucket's largest
-   component with each other and with that one; agreeing pairs of different components are verified as before.
+   component with each other and with that one; signatures and bitmaps leave few pairs, whose full sets decide in the
+   task. A pair of tiles returns at most as many links as it has rows.
 
 No partner is dropped anywhere; the one inexact step is the banding. Hubs' partners are dealt to several tasks, and buckets are
 counted with partial sums. The last join meets rows with classes on keys that may be hot (copies); Spark splits those.
@@ -29,13 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchloom.llm import stars
 from searchloom.llm import words as W
-from searchloom.llm.ngram_join import SET, all_sets, components
+from searchloom.llm.ngram_join import SET, components, most_shared
 from searchloom.llm.rows import texts_of
+from searchloom.llm.shingles import all_sets
 from searchloom.storage import written
 
 K = 5
@@ -46,6 +49,7 @@ SLOTS = BANDS * ROWS
 SLACK = 0.19  # agreement may fall short of the similarity by this much (chance under 1e-7)
 DOCS_AT_ONCE = 4096
 TILE = 512
+BITS = 4096
 EMPTY = np.uint64(2**64 - 1)
 
 
@@ -78,7 +82,8 @@ def super_minhash(members: np.ndarray, first: np.ndarray, slots: int = SLOTS) ->
 
 
 def signed_rows(texts: DataFrame, k: int = K) -> DataFrame:
-    """``doc_id``, ``id``, ``tag``, the set's size ``n`` and hashes ``s1``, ``s2``, and its signature ``sig`` (16 bits a slot)."""
+    """``doc_id``, ``id``, ``tag``, the set's size ``n`` and hashes ``s1``, ``s2``, its signature ``sig`` (16 bits a slot) and
+    a bitmap of its members ``bits``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,17 +96,19 @@ def signed_rows(texts: DataFrame, k: int = K) -> DataFrame:
                     for values in (members, W.mix(members ^ np.uint64(0xA5A5A5A5A5A5A5A5))):
                         summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
                         checks.append(pa.array(W.signed(summed[first[1:]] - summed[first[:-1]])))
+                    bits = np.zeros((len(part), BITS), np.uint8)
+                    bits[np.repeat(np.arange(len(part)), np.diff(first)), (members & np.uint64(BITS - 1)).astype(np.int64)] = 1
                     own = batch.slice(row + low, len(part))
                     yield pa.record_batch(
                         [
                             *own.columns[:3], pa.array(np.diff(first).astype(np.int32)), *checks,
-                            pa.array([x.tobytes() for x in slots], pa.binary()),
+                            *(pa.array([x.tobytes() for x in rows], pa.binary()) for rows in (slots, np.packbits(bits, axis=1))),
                         ],
-                        ["doc_id", "id", "tag", *SET, "sig"],
+                        ["doc_id", "id", "tag", *SET, "sig", "bits"],
                     )
 
     return texts.select("doc_id", "id", "tag", "text").mapInArrow(
-        sign, "doc_id long, id long, tag long, n int, s1 long, s2 long, sig binary"
+        sign, "doc_id long, id long, tag long, n int, s1 long, s2 long, sig binary, bits binary"
     )
 
 
@@ -110,7 +117,7 @@ def _slots(column: pa.Array) -> np.ndarray:
 
 
 def bands(classes: DataFrame, rows: int = ROWS) -> DataFrame:
-    """``bucket`` and ``node``: one row per band of each signature."""
+    """``bucket``, ``band`` (its number) and ``node``: one row per band of each signature."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,9 +126,10 @@ def bands(classes: DataFrame, rows: int = ROWS) -> DataFrame:
             numbered = W.mix(slots + np.uint64(1)) * W.powers(rows, 5)[np.arange(slots.shape[1]) % rows]
             hashed = numbered.reshape(len(batch), count, rows).sum(axis=2, dtype=np.uint64) + np.arange(count, dtype=np.uint64)
             node = np.repeat(batch.column(0).to_numpy(), count)
-            yield pa.record_batch([pa.array(W.signed(W.mix(hashed)).ravel()), pa.array(node)], ["bucket", "node"])
+            band = np.tile(np.arange(count, dtype=np.int32), len(batch))
+            yield pa.record_batch([pa.array(W.signed(W.mix(hashed)).ravel()), pa.array(band), pa.array(node)], ["bucket", "band", "node"])
 
-    return classes.select("node", "sig").mapInArrow(cut, "bucket long, node long")
+    return classes.select("node", "sig").mapInArrow(cut, "bucket long, band int, node long")
 
 
 def _near(percent: int):
@@ -148,21 +156,24 @@ def by_signature(percent: int):
 
 
 def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows ``bucket``, ``node``, ``root`` of the buckets in which several components meet; one of those with the same classes."""
-    rooted = met.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    """Rows ``bucket``, ``band``, ``node``, ``root`` of the buckets in which several components meet; of those with the same
+    classes the one of the first band."""
+    rooted = met.select("bucket", "band", "node").join(roots, "node", "left").select("bucket", "band", "node", F.coalesce("root", "node").alias("root"))
     rooted = written(rooted, "rooted")
-    several = rooted.groupBy("bucket").agg(
+    several = rooted.groupBy("bucket", "band").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("count"),
         F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("one"), F.sum(F.hash("node").cast("long")).alias("two"),
-    ).where("low <> high").groupBy("count", "one", "two").agg(F.min("bucket").alias("bucket"))
-    return written(rooted.join(written(several.select("bucket"), "apart"), "bucket", "left_semi"), "apart-rows")
+    ).where("low <> high").groupBy("count", "one", "two").agg(F.min(F.struct("band", "bucket")).alias("one_of"))
+    return written(rooted.join(written(several.select("one_of.bucket"), "apart"), "bucket", "left_semi"), "apart-rows")
 
 
-def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different components that meet in a bucket and may be linked.
+def _tile_links(rows: DataFrame, classes: DataFrame, bodies: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` between classes of different components that meet in a bucket: enough of them to unite those that are linked.
 
-    ``rows``: ``bucket``, ``node``, ``root``. In each bucket the largest component's classes are compared only with the
-    others; a tile is a hash slice of either kind, and a pair of tiles one group.
+    ``rows``: ``bucket``, ``band``, ``node``, ``root``. In each bucket the largest component's classes are compared only with
+    the others; a tile is a hash slice of either kind, and a pair of tiles one group. Two classes are looked at in the
+    first band that they share; sizes, signatures and bitmaps (a bit that only one set has is a member that the other
+    lacks) leave few pairs, whose full sets decide, unless links of the group unite them already.
     """
     sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("size"))
     major = sizes.groupBy("bucket").agg(
@@ -188,35 +199,64 @@ def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int) -> DataFra
     )
     with_major = F.transform(up_to(F.col("few")), lambda x: pair(x, -1 - mine, True))
     groups = kinds.withColumn("tile", tile).withColumn("pairs", F.when(F.col("rest"), with_rest).otherwise(with_major))
-    sent = groups.select("bucket", "node", "root", F.explode("pairs").alias("pair")).join(signatures, "node").select(
-        "bucket", "pair.x", "pair.y", "pair.second", "node", "root", "n", F.col("payload").alias("sig")
+    payloads = classes.select("node", "n", "sig", "bits").join(bodies.select("node", F.col("payload").alias("body")).hint("merge"), "node")
+    sent = groups.select("bucket", "band", "node", "root", F.explode("pairs").alias("pair")).join(payloads.hint("merge"), "node").select(
+        "bucket", "pair.x", "pair.y", "pair.second", "band", "node", "root", "n", "sig", "bits", "body"
     )
     allowed = _near(percent)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         held: list[pa.RecordBatch] = []
 
         def close() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             second = table.column(3).to_numpy(zero_copy_only=False)
-            node, root, n = (table.column(i).to_numpy() for i in (4, 5, 6))
-            slots = _slots(table.column(7))
+            band = table.column(4)[0].as_py()
+            node, root, n = (table.column(i).to_numpy() for i in (5, 6, 7))
+            slots = _slots(table.column(8))
+            bits = np.frombuffer(b"".join(table.column(9).to_pylist()), np.uint64).reshape(len(node), -1)
             inside = table.column(1)[0].as_py() == table.column(2)[0].as_py()
             one = np.flatnonzero(~second)
             other = one if inside else np.flatnonzero(second)
+            above = {r: r for r in root.tolist()}
+            sets: dict[int, np.ndarray] = {}
+
+            def top(r: int) -> int:
+                while above[r] != r:
+                    above[r] = r = above[above[r]]
+                return r
+
+            def members(i: int) -> np.ndarray:
+                if i not in sets:
+                    sets[i] = all_sets(pa.array([unpack(table.column(10)[i].as_py()).decode()]), k)[0]
+                return sets[i]
+
+            links: list[tuple[int, int]] = []
             for low in range(0, len(one), 64):
                 left = one[low : low + 64]
                 agreeing = (slots[left, None] == slots[None, other]).sum(axis=2)
-                fits = allowed(n[left, None], n[None, other], agreeing, slots.shape[1]) & (root[left, None] != root[None, other])
-                i, j = np.nonzero(fits)
-                a, b = node[left[i]], node[other[j]]
-                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                i, j = np.nonzero(allowed(n[left, None], n[None, other], agreeing, slots.shape[1]) & (root[left, None] != root[None, other]))
+                a, b = left[i], other[j]
+                shared = (slots[a] == slots[b]).reshape(len(a), slots.shape[1] // ROWS, ROWS).all(axis=2)
+                first = (shared.argmax(axis=1) == band) & shared[np.arange(len(a)), band] & (~np.bool_(inside) | (a < b))
+                a, b = a[first], b[first]
+                most = most_shared(n[a].astype(np.int64), n[b].astype(np.int64), bits[a], bits[b])
+                possible = 100 * most >= percent * (n[a] + n[b] - most)
+                for x, y in zip(a[possible].tolist(), b[possible].tolist(), strict=True):
+                    r, s = top(int(root[x])), top(int(root[y]))
+                    if r != s:
+                        both = len(np.intersect1d(members(x), members(y), assume_unique=True))
+                        if 100 * both >= percent * (int(n[x]) + int(n[y]) - both):
+                            above[max(r, s)] = min(r, s)
+                            links.append((int(node[x]), int(node[y])))
+            yield pa.record_batch([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["a", "b"])
 
         for batch in batches:
             if not len(batch):
                 continue
             keys = [batch.column(c).to_numpy() for c in (0, 1, 2)]
-            edges = [0, *(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1).tolist(), len(batch)]
+            edges = [0, *(np.flatnonzero(np.any([key[1:] != key[:-1] for key in keys], axis=0)) + 1).tolist(), len(batch)]
             for low, high in zip(edges, edges[1:], strict=False):
                 part = batch.slice(low, high - low)
                 if held and any(held[-1].column(c)[0].as_py() != part.column(c)[0].as_py() for c in (0, 1, 2)):
@@ -238,7 +278,8 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id:
     texts = texts_of(docs, doc_id, text)
     rows = written(signed_rows(texts, k), "minhash-rows")
     classes = rows.where("n > 0").groupBy(*SET).agg(
-        F.min("doc_id").alias("first"), F.min(F.struct("id", "tag")).alias("row"), F.min("sig").alias("sig")
+        F.min("doc_id").alias("first"), F.min(F.struct("id", "tag")).alias("row"), F.min("sig").alias("sig"),
+        F.min("bits").alias("bits"),
     )
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
     signatures = classes.select("node", "n", F.col("sig").alias("payload"))
@@ -248,11 +289,13 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id:
     met = written(banded.join(meeting.select("bucket", "hub"), "bucket"), "minhash-buckets")
     pairs = written(met.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "minhash-pairs")
 
+    def bodies_of(nodes: DataFrame) -> DataFrame:
+        return stars.bodies(texts, classes.join(nodes.distinct(), "node").select("node", "n", "row.id", "row.tag"))
+
     def linked(pairs: DataFrame) -> DataFrame:
         near = written(stars.tested(pairs, signatures, by_signature(percent)), "minhash-near")
-        nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-        wanted = classes.join(nodes, "node").select("node", "n", "row.id", "row.tag")
-        return written(stars.tested(near, stars.bodies(texts, wanted), stars.by_members(k, percent)), "minhash-links")
+        nodes = near.select(F.col("a").alias("node")).union(near.select("b"))
+        return written(stars.tested(near, bodies_of(nodes), stars.by_members(k, percent)), "minhash-links")
 
     links = linked(pairs)
     roots = components(links)
@@ -267,9 +310,8 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id:
         roots = components(links)
         rest = _apart(met, roots)
         if not rest.isEmpty():
-            done = pairs.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            third = _tile_pairs(rest, signatures, percent).distinct().join(done, ["a", "b"], "left_anti")
-            links = links.unionByName(linked(written(third, "minhash-pairs")))
+            third = _tile_links(rest, classes, bodies_of(rest.select("node")), k, percent)
+            links = links.unionByName(written(third, "minhash-links"))
             roots = components(links)
 
     named = classes.select(*SET, "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -14,8 +14,9 @@ kept of it is bounded by the threshold (shingles in 1/1000 of the documents: at
    whose size bands can hold linked sets are compared, all signatures of one with all of the other, and pairs of
    different components that the bit counts allow are verified as before.
 
-So all links count towards the components, though links inside a component needn't be spelt out. Texts travel
-deflated and are shuffled once; every meeting is counted before it is joined.
+So all links count towards the components, though links inside a component needn't be spelt out. Sets are made once;
+texts travel deflated, those of classes that may be linked alone, and a hub's once per few thousand of its partners
+(:mod:`searchloom.llm.stars`); every meeting is counted before it is joined.
 
 Defined cases: null text, empty text and text without words have an empty set, link with nothing and form their
 own component; fewer than four words are one shingle; repeated rows are in one class; a row with a null id is linked
@@ -29,15 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from searchloom.llm import stars
 from searchloom.llm import words as W
-from searchloom.llm.rows import keys_of, range_hashes, texts_of, unused
+from searchloom.llm.rows import keys_of, texts_of, unused
+from searchloom.llm.shingles import K, all_sets
 from searchloom.storage import written
 
-K = 4
 PERCENT = 85
 SAMPLE = 64
 HOT = 1000
@@ -46,31 +47,6 @@ TILE = 512
 SET = ["n", "s1", "s2"]
 
 
-def all_sets(part: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-    """The different shingles of each text, sorted, one text after the other; and where each text's begin, and the end."""
-    words = W.words_of(part)
-    hashes = W.word_hashes(words, lower=True)
-    inside = np.flatnonzero(W.fits(words, k))
-    values, text = W.window_hashes(hashes, k)[inside], words.text[inside]
-    lengths = np.diff(words.first)
-    short = np.flatnonzero((lengths > 0) & (lengths < k))
-    if len(short):
-        whole = range_hashes(hashes, words.first[short], words.first[short + 1], seed=2)
-        values, text = np.concatenate((values, whole)), np.concatenate((text, short.astype(text.dtype)))
-    order = np.lexsort((values, text))
-    values, text = values[order], text[order]
-    keep = np.ones(len(values), bool)
-    keep[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
-    return values[keep], np.searchsorted(text[keep], np.arange(len(part) + 1))
-
-
-def shingle_sets(part: pa.Array, k: int = K) -> Iterator[np.ndarray]:
-    """The sorted different shingles of each text."""
-    values, first = all_sets(part, k)
-    for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        yield values[low:high]
-
-
 def needed(size, percent: int):
     """Members that sets of this size must share to be linked."""
     return -(-percent * size // 100)
@@ -81,12 +57,11 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return W.signed(summed[first[1:]] - summed[first[:-1]])
 
 
-def set_rows(texts: DataFrame, k: int, percent: int, with_text: bool = False, hot=None) -> DataFrame:
-    """``doc_id``, ``id``, ``tag``, the set's size ``n`` and hashes ``s1``, ``s2``; and the deflated text, or the set's
-    bitmap and its prefix in the order given by ``hot`` (a broadcast of sorted shingles and their frequency)."""
+def set_rows(texts: DataFrame, k: int, percent: int, hot) -> DataFrame:
+    """``doc_id``, ``id``, ``tag``, the set's size ``n`` and hashes ``s1``, ``s2``, its prefix in the order given by ``hot`` (a
+    broadcast of sorted shingles and their frequency) and its bitmap ``bits``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for row, part in W.pieces(batch.column(2)):
                 values, first = all_sets(part, k)
@@ -96,33 +71,27 @@ def set_rows(texts: DataFrame, k: int, percent: int, with_text: bool = False, ho
                     *own.columns[:2], own.column(3), pa.array(sizes.astype(np.int32)), pa.array(_sums(values, first)),
                     pa.array(_sums(W.mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first)),
                 ]
-                names = ["doc_id", "id", "tag", *SET]
-                if with_text:
-                    columns.append(pa.array([pack(value.as_py().encode()) for value in part], pa.binary()))
-                    names.append("body")
-                if hot is not None:
-                    frequent, counts = hot.value
-                    text = np.repeat(np.arange(len(part)), sizes)
-                    count = np.zeros(len(values), np.int64)
-                    if len(frequent):
-                        place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
-                        count = np.where(frequent[place] == values, counts[place], 0)
-                    lengths = np.where(sizes > 0, sizes - needed(sizes, percent) + 1, 0)
-                    order = np.lexsort((values, count, text))
-                    chosen = values[order][np.arange(len(values)) - first[text] < lengths[text]]
-                    bits = np.zeros((len(part), BITS), np.uint8)
-                    bits[text, (values & np.uint64(BITS - 1)).astype(np.int64)] = 1
-                    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                    columns += [
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(W.signed(chosen))),
-                        pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()),
-                    ]
-                    names += ["prefix", "bits"]
-                yield pa.record_batch(columns, names)
-
-    schema = "doc_id long, id long, tag long, n int, s1 long, s2 long"
-    schema += ", body binary" * with_text + ", prefix array<long>, bits binary" * (hot is not None)
-    return texts.select("doc_id", "id", "text", "tag").mapInArrow(find, schema)
+                frequent, counts = hot.value
+                text = np.repeat(np.arange(len(part)), sizes)
+                count = np.zeros(len(values), np.int64)
+                if len(frequent):
+                    place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
+                    count = np.where(frequent[place] == values, counts[place], 0)
+                lengths = np.where(sizes > 0, sizes - needed(sizes, percent) + 1, 0)
+                order = np.lexsort((values, count, text))
+                chosen = values[order][np.arange(len(values)) - first[text] < lengths[text]]
+                bits = np.zeros((len(part), BITS), np.uint8)
+                bits[text, (values & np.uint64(BITS - 1)).astype(np.int64)] = 1
+                ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+                columns += [
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(W.signed(chosen))),
+                    pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()),
+                ]
+                yield pa.record_batch(columns, ["doc_id", "id", "tag", *SET, "prefix", "bits"])
+
+    return texts.select("doc_id", "id", "text", "tag").mapInArrow(
+        find, "doc_id long, id long, tag long, n int, s1 long, s2 long, prefix array<long>, bits binary"
+    )
 
 
 def frequent_shingles(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,50 +128,19 @@ def _linked(shared, size_a, size_b, percent: int):
     return 100 * shared >= percent * (size_a + size_b - shared)
 
 
-def possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of nodes whose sizes and bitmaps allow a link; ``signatures``: ``node``, ``n``, ``bits``."""
+def by_bitmap(percent: int):
+    """A test of :func:`searchloom.llm.stars.tested`: whether sizes and bitmaps leave a link possible."""
 
-    def side(name: str) -> DataFrame:
-        return signatures.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+    def make() -> stars.Test:
+        def near(hub: int, n: int, payload: bytes, others: pa.Array, sizes: np.ndarray) -> np.ndarray:
+            sizes = sizes.astype(np.int64)
+            theirs = np.frombuffer(b"".join(others.to_pylist()), np.uint64).reshape(len(others), -1)
+            most = most_shared(n, sizes, np.frombuffer(payload, np.uint64)[None], theirs)
+            return (100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)) & _linked(most, n, sizes, percent)
 
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
-            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(batch), -1) for i in (4, 5)]
-            keep = _linked(most_shared(n_a, n_b, *bits), n_a, n_b, percent)
-            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
-
-    met = pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a")
-    near = met.where("least(n_a, n_b) * 100 >= greatest(n_a, n_b) * " + str(percent))
-    return near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bound, "a long, b long")
+        return near
 
-
-def verified(pairs: DataFrame, bodies: DataFrame, k: int, percent: int) -> DataFrame:
-    """The linked ones of pairs ``a``, ``b`` of nodes, by the intersection of their sorted arrays."""
-    one = bodies.select(F.col("node").alias("b"), F.col("body").alias("body_b"))
-    other = bodies.select(F.col("node").alias("a"), F.col("body").alias("body_a"))
-    both = pairs.join(one.hint("merge"), "b").join(other.hint("merge"), "a").select("a", "b", "body_a", "body_b")
-
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        last, held = None, None
-        for batch in batches:
-            keep = []
-            for low in range(0, len(batch), 256):
-                part = batch.slice(low, 256)
-                names = part.column(0).to_pylist()
-                news = [i for i, a in enumerate(names) if a != (names[i - 1] if i else last)]
-                texts = [unpack(x.as_py()).decode() for x in part.column(3)] + [unpack(part.column(2)[i].as_py()).decode() for i in news]
-                sets = list(shingle_sets(pa.array(texts, pa.string()), k))
-                heads = dict(zip(news, sets[len(part) :], strict=True))
-                for i in range(len(part)):
-                    if i in heads:
-                        last, held = names[i], heads[i]
-                    shared = len(np.intersect1d(held, sets[i], assume_unique=True))
-                    keep.append(_linked(shared, len(held), len(sets[i]), percent))
-            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(test, "a long, b long")
+    return make
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -305,19 +243,19 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
     :func:`searchloom.llm.rows.texts_of`; ``root`` names the component (null for empty sets).
     """
     texts = texts_of(docs, doc_id, text)
-    context = docs.sparkSession.sparkContext
-    hot = context.broadcast(frequent_shingles(texts, k))
-    classes = written(
-        set_rows(texts, k, percent, hot=hot).where("n > 0").groupBy(*SET).agg(
-            F.min("id").alias("node"), F.min("doc_id").alias("first"), F.min("prefix").alias("prefix"),
-            F.min("bits").alias("bits"),
-        ), "classes",
+    hot = docs.sparkSession.sparkContext.broadcast(frequent_shingles(texts, k))
+    sets = written(set_rows(texts, k, percent, hot), "set-rows")
+    classes = sets.where("n > 0").groupBy(*SET).agg(
+        F.min("doc_id").alias("first"), F.min(F.struct("id", "tag")).alias("row"), F.min("prefix").alias("prefix"), F.min("bits").alias("bits")
     )
-    clashing = written(classes.groupBy("node").count().where("count > 1").select("node"), "clashing")  # ids that recur
-    if not clashing.isEmpty():
-        classes = classes.join(clashing.withColumn("clash", F.lit(True)), "node", "left").withColumn(
-            "node", F.when(F.col("clash"), F.col("s1")).otherwise(F.col("node"))
-        ).drop("clash")
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    signatures = classes.select("node", "n", F.col("bits").alias("payload"))
+
+    def linked(near: DataFrame) -> DataFrame:
+        nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+        bodies = stars.bodies(texts, classes.join(nodes, "node").select("node", "n", "row.id", "row.tag"))
+        return written(stars.tested(near, bodies, stars.by_members(k, percent)), "links")
+
     rows = classes.select("node", "n", F.explode("prefix").alias("shingle"))
     meeting = written(
         rows.groupBy("shingle").agg(F.count("*").alias("count"), F.min("node").alias("hub")).where("count > 1").select("shingle", "hub"),
@@ -325,12 +263,7 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
     )
     met = written(rows.join(meeting, "shingle"), "met")
     pairs = written(met.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = written(classes.join(wanted, "node").select("node", *SET), "wanted")
-    bodies = set_rows(texts, k, percent, with_text=True).join(wanted.hint("merge"), SET).groupBy("node").agg(F.min("body").alias("body"))
-    bodies = written(bodies, "bodies")
-    signatures = classes.select("node", "n", "bits")
-    links = written(verified(written(possible(pairs, signatures, percent), "possible"), bodies, k, percent), "links")
+    links = linked(written(stars.tested(pairs, signatures, by_bitmap(percent)), "possible"))
     roots = components(links)
 
     with_roots = met.join(roots, "node", "left").select("shingle", "node", "n", F.coalesce("root", "node").alias("root"))
@@ -340,8 +273,8 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
         F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("one"), F.sum(F.hash("node").cast("long")).alias("two"),
     ).where("low <> high").groupBy("count", "one", "two").agg(F.min("shingle").alias("shingle"))  # one of those met by the same classes
     rest = with_roots.join(written(apart.select("shingle"), "apart"), "shingle", "left_semi")
-    more = _tile_pairs(rest, signatures, percent).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = written(verified(written(more, "tile-pairs"), bodies, k, percent), "more-links")
+    more = _tile_pairs(rest, classes.select("node", "bits"), percent).distinct().join(pairs, ["a", "b"], "left_anti")
+    more = linked(written(more, "tile-pairs"))
     if not more.isEmpty():
         ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b")]
         between = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
@@ -352,7 +285,7 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
     named = classes.select(*SET, "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = written(named.join(smallest, "root").select(*SET, "root", "component_id"), "named")
-    return set_rows(texts, k, percent).join(named, SET, "left").select(
+    return sets.select("doc_id", "id", "tag", *SET).join(named.hint("merge"), SET, "left").select(
         "doc_id", "id", "tag", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root",
     )
 

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchloom.llm.ngram_join import shingle_sets
+from searchloom.llm.shingles import shingle_sets
 from searchloom.storage import written
 
 PART = 4096
