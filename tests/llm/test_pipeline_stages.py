@@ -53,3 +53,28 @@ def test_a_repeated_row_keeps_the_lines_it_holds_first(spark, lines, times):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     want = [(1, "\n".join(common))] * times + [(2 + k, f"own {k}") for k in range(11) if lines > 1]
     assert sorted((r.doc_id, r.text) for r in found) == want
+
+
+def test_rows_without_an_id_or_with_the_same_one_stay_unless_linked(spark):
+    """Unlinked rows are no copies of each other, whatever their ids; repeated rows are one document."""
+    def words(name, n=60):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    rows = [(None, words("a")), (None, words("b")), (5, words("c")), (5, words("d")), (5, words("c")), (None, words("e") + " end"),
+            (7, words("e")), (None, None), (None, " "), (8, ""), (None, words("f")), (None, words("f") + " end")]
+    found = STAGES["n-gram Jaccard join"](spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    kept = [(r.doc_id, r.text) for r in found]
+    f_rows = [x for x in kept if x[1] and x[1].startswith("f0")]
+    assert len(f_rows) == 1
+    assert sorted(map(str, (x for x in kept if x not in f_rows))) == sorted(map(str, [rows[i] for i in (0, 1, 2, 3, 6, 7, 8, 9)]))
+
+
+def test_keys_of_rows_without_an_id_are_wide(spark):
+    from pyspark.sql import functions as F
+
+    from searchloom.llm.rows import texts_of
+
+    docs = spark.range(300_000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    keyed = texts_of(docs)
+    assert keyed.select("id", "tag").distinct().count() == keyed.select("id").distinct().count() == keyed.select("tag").distinct().count() == 300_000
+    assert keyed.where(F.col("id") < 2**62).isEmpty()
