@@ -17,6 +17,7 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,8 @@ LEAF_END = r"(\s(?<=(?:[^\p{L}\p{N}\s]|[gGyYzZ])\s)\s*)(?=\S)"  # looks back at
 WORDS_IN_LEAF = r"((?:\S+\s+){8})(?=\S)"
 SHOWN = 8  # hex digits of a node below the root
 ROWS_PER_GROUP = 512
+MOST_GROUPS = 65_536
+CUTS_TOGETHER = 256
 GROUPS_TOGETHER = 1024
 
 
@@ -101,21 +104,77 @@ def differing_paragraphs(one: Column, other: Column) -> Column:
     ).otherwise(F.array_except(hashes(one), hashes(other)))
 
 
+def _cuts(docs: DataFrame, order: str, groups: int, null_groups: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Where the rows are cut in groups: pairs (id, spot) in order, for rows with an id, and spots for those without.
+
+    The ids are approximate quantiles. One that recurs among them belongs to a great many rows; these, and those without
+    an id, are cut at quantiles of how their texts begin.
+    """
+    def quantiles(column: str, n: int) -> Column:
+        return F.percentile_approx(column, [k / n for k in range(1, n)], 20 * n)
+
+    found = docs.agg(quantiles(order, groups)).first()[0] if groups > 1 else None
+    times = Counter(found or [])
+    many = max([null_groups, *times.values()])
+    wanted = F.col(order).isin([v for v, n in times.items() if n > 1]) | F.col(order).isNull()
+    inner = {}
+    if many > 1:  # a row per id that recurs among the quantiles
+        inner = dict(tuple(r) for r in docs.where(wanted).groupBy(order).agg(quantiles("spot", many)).collect())
+    cuts = [(value, spot) for value in sorted(times) for spot in sorted({0, *inner.get(value, [])})]
+    return cuts, sorted(set(inner.get(None, [])))
+
+
+def _group(order: Column, spot: Column, cuts: list[tuple[int, int]], null_cuts: list[int]) -> Column:
+    """The number of a row's group: how many cuts come before it; rows without an id have groups below 0.
+
+    Every ``CUTS_TOGETHER``-th cut is compared first, then the ones behind the last of them that comes before the row.
+    """
+
+    def count(values: list, passed: Callable[[Column], Column]) -> Column:
+        def before(places: Column) -> Column:
+            return F.size(F.filter(places, passed))
+
+        def behind(n: Column) -> Column:
+            low = (n - 1) * CUTS_TOGETHER
+            return low + before(F.sequence(low + 1, F.least(low + CUTS_TOGETHER, F.lit(len(values)))))
+
+        if not values:
+            return F.lit(0)
+        tops = F.sequence(F.lit(1), F.lit(len(values)), F.lit(CUTS_TOGETHER))
+        return _let(before(tops), lambda n: F.when(n == 0, 0).otherwise(behind(F.greatest(n, F.lit(1)))))
+
+    def numbers(values: list[int]) -> Column:
+        """One literal, however many there are."""
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+    ids, spots, alone = (numbers(x) for x in ([c[0] for c in cuts], [c[1] for c in cuts], null_cuts))
+
+    def passed(i: Column) -> Column:
+        value = F.element_at(ids, i)
+        return (value < order) | ((value == order) & (F.element_at(spots, i) <= spot))
+
+    without = count(null_cuts, lambda i: F.element_at(alone, i) <= spot) - (len(null_cuts) + 1)
+    return F.when(order.isNull(), without).otherwise(count(cuts, passed)).cast("long")
+
+
 def with_next(
     docs: DataFrame, columns: list[str], order: str = "doc_id", derive: Callable[[DataFrame], DataFrame] = lambda x: x
 ) -> DataFrame:
     """Add ``next_<column>`` of the row that follows by ``order``; after the last row comes the first.
 
-    ``docs`` has a column ``text`` without nulls, for the order of equal ids. Rows are grouped by ranges of ids, about
-    ``ROWS_PER_GROUP`` rows wide on average. Each group also gets the first row of the next one, so that one shuffle of
-    all rows is enough; first rows are found by a minimum, taken within the tasks first. ``derive`` adds columns of a
-    row once those rows are chosen, before the shuffle.
+    ``docs`` has a column ``text`` without nulls, for the order of equal ids. Rows are grouped between quantiles of their ids
+    (and, where an id recurs or is missing, of how texts begin), about ``ROWS_PER_GROUP`` rows each; nothing is computed
+    with ids, so any are allowed. Each group also gets the first row of the next one, so that one shuffle of all rows is
+    enough; first rows are found by a minimum, taken within the tasks first. ``derive`` adds columns of a row once those
+    rows are chosen, before the shuffle. Rows with one id whose texts begin with the same seven bytes are one group.
     """
-    low, high, rows = docs.agg(F.min(order), F.max(order), F.count("*")).first()
-    width = 1 if low is None else max(1, ((high - low + 1) * ROWS_PER_GROUP + rows - 1) // rows)
-    group = F.coalesce(F.floor((F.col(order) - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
-    rest = [c for c in docs.columns if c not in (order, "text")]
-    firsts = docs.withColumn("own", group).groupBy("own").agg(F.min(F.struct(order, "text", *rest)).alias("first")).withColumn(
+    beginning = F.rpad(F.hex(F.substring(F.col("text").cast("binary"), 1, 7)), 14, "0")
+    docs = docs.withColumn("spot", F.conv(beginning, 16, 10).cast("bigint"))
+    rows, known = docs.agg(F.count("*"), F.count(order)).first()
+    groups = [max(1, min(MOST_GROUPS, -(-n // ROWS_PER_GROUP))) for n in (known, rows - known)]
+    group = _group(F.col(order), F.col("spot"), *_cuts(docs, order, *groups))
+    rest = [c for c in docs.columns if c not in (order, "text", "spot")]
+    firsts = docs.withColumn("own", group).groupBy("own").agg(F.min(F.struct(order, "text", "spot", *rest)).alias("first")).withColumn(
         "range", F.floor(F.col("own") / GROUPS_TOGETHER)
     )
     by_range = Window.orderBy("range")  # one row per GROUPS_TOGETHER groups
@@ -132,7 +191,7 @@ def with_next(
     linked = rows_.select(
         *(c for c in rows_.columns if c != "group"), *(F.lead(c).over(inside).alias(f"next_{c}") for c in columns)
     )
-    return linked.where("lent = 0").drop("lent")
+    return linked.where("lent = 0").drop("lent", "spot")
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
