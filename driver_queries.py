@@ -910,12 +910,17 @@ def stream_fetch_counts(spark, sf_dir):
 SELECT conv_id, seen, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS memory
 FROM last WHERE r <= 4 GROUP BY conv_id, seen""")
 def stream_chat_memory(spark, sf_dir):
-    path = new_path(spark, "chat-memory")
-    chat_memory.start_memory(
-        _stream(spark, sf_dir, "conversations"), 4, path, new_path(spark, "stream-state"), available_now=True
-    ).awaitTermination()
+    """In two runs on one checkpoint, the second after new turns have come, and read from a snapshot and what came after it."""
+    arrived, path, state, snapshots = (new_path(spark, name) for name in ("turns", "chat-memory", "stream-state", "chat-snapshots"))
+    turns = given.table(spark, sf_dir, "conversations")
+    hour = None
+    for half in (0, 1):
+        turns.where(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(2)) == half).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(turns.schema).parquet(arrived)
+        chat_memory.start_memory(stream, 4, path, state, available_now=True).awaitTermination()
+        hour = hour or chat_memory.compact(spark, path, snapshots)
     lines = F.transform("memory", lambda t: F.concat_ws(": ", t["role"], t["text"]))
-    current = chat_memory.current_memory(spark.read.parquet(path))
+    current = chat_memory.latest_memory(spark, path, snapshots, hour)
     return current.select("conv_id", "seen", F.array_join(lines, "\n").alias("memory"))
 
 
