@@ -3,6 +3,12 @@
 Quality classifier, line dedup, near-duplicate join, dedup of passages, packing. A stage is called as
 ``stage(spark, docs, sf_dir)``; all but the last return the columns of ``docs``. Where a stage changes texts, it
 keeps the first copy of what repeats: the first document (by id) keeps a line or a passage, later ones lose it.
+
+Defined cases: null, empty and blank texts pass the stages unchanged (the classifier judges them as empty texts) and are
+packed as a lone end id; rows with a null id come after all others where the first counts, and are otherwise documents
+like any other; repeated rows are one document for the near-copy stage, and keep alike what they hold first; ties go to the
+smaller id, then to a hash of the text; very long texts are read whole; an empty table gives an empty result. Other
+columns stay as they are, whatever their names; ``n_chars``, if there is one, follows the text.
 """
 
 from __future__ import annotations
