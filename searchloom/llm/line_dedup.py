@@ -17,10 +17,12 @@ result. Other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -188,6 +190,19 @@ def without_lines(bitmaps: DataFrame) -> DataFrame:
     return bitmaps.mapInArrow(_apply, "id long, tag long, doc_id long, kept string, n_lines long, n_dropped long")
 
 
+def _cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
+    """Texts without the lines of these numbers, by a bitmap of the lines that stay."""
+    kept = []
+    for text, numbers in zip(texts, gone, strict=True):
+        if numbers is not None:
+            lines = text.split("\n")
+            keep = np.ones(len(lines), bool)
+            keep[numbers] = False
+            text = "\n".join(itertools.compress(lines, keep))
+        kept.append(text)
+    return pd.Series(kept, dtype=object)
+
+
 def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the lines to drop; a row that loses all its words goes. ``n_chars`` follows the text."""
     id_, tag, gone = unused(docs, "id", "tag", "gone")
@@ -195,10 +210,9 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     lost = lost.select(F.col("id").alias(id_), F.col("tag").alias(tag), F.col("gone").alias(gone))
     keys = docs.withColumns(dict(zip((id_, tag), keys_of(docs, doc_id, text), strict=True)))
     joined = keys.join(lost.hint("merge"), [id_, tag], "left")
-    lines = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(F.col(gone), i))
-    new = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    rest = joined.withColumn(text, new).where(F.col(gone).isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
-    return rest.select(*(f"`{c}`" for c in docs.columns)).select(with_text(docs, F.col(text), text))
+    rest = joined.withColumn(text, F.pandas_udf(_cut, "string")(F.col(f"`{text}`"), F.col(gone)))
+    rest = rest.where(F.col(gone).isNull() | F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"))
+    return rest.select(*(f"`{c}`" for c in docs.columns)).select(with_text(docs, F.col(f"`{text}`"), text))
 
 
 def digest(docs: DataFrame) -> DataFrame:
