@@ -256,12 +256,10 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
         bodies = stars.bodies(texts, classes.join(nodes, "node").select("node", "n", "row.id", "row.tag"))
         return written(stars.tested(near, bodies, stars.by_members(k, percent)), "links")
 
-    rows = classes.select("node", "n", F.explode("prefix").alias("shingle"))
-    meeting = written(
-        rows.groupBy("shingle").agg(F.count("*").alias("count"), F.min("node").alias("hub")).where("count > 1").select("shingle", "hub"),
-        "meeting",
-    )
-    met = written(rows.join(meeting, "shingle"), "met")
+    rows = classes.select("node", "n", F.explode("prefix").alias("shingle")).repartition("shingle")  # shuffled once, for both uses
+    meeting = rows.groupBy("shingle").agg(F.count("*").alias("count"), F.min("node").alias("hub"), F.max("n").alias("most"))
+    meeting = meeting.where("count > 1 AND most > 0")  # with all columns asked for, both uses are of one shuffle
+    met = written(rows.join(meeting.select("shingle", "hub"), "shingle"), "met")
     pairs = written(met.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     links = linked(written(stars.tested(pairs, signatures, by_bitmap(percent)), "possible"))
     roots = components(links)
