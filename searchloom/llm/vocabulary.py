@@ -22,7 +22,8 @@ from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f")
-REMEMBERED = 150_000  # chunks, and as many words, per Python worker; twice that at most
+REMEMBERED = 150_000  # keys per Python worker; twice that at most
+CHUNKS_REMEMBERED, WORDS_REMEMBERED = 100_000, 50_000
 
 
 def read_vocabulary(path: str = WORD_BPE) -> str:
@@ -32,14 +33,14 @@ def read_vocabulary(path: str = WORD_BPE) -> str:
 
 
 class Memory(dict):
-    """Values by key, made on demand. When it holds ``REMEMBERED`` keys they become the former ones; former keys that
+    """Values by key, made on demand. When it holds ``remembered`` keys they become the former ones; former keys that
     are asked for come back, the others go the next time."""
 
-    def __init__(self, make: Callable):
-        self.make, self.former = make, {}
+    def __init__(self, make: Callable, remembered: int = REMEMBERED):
+        self.make, self.former, self.remembered = make, {}, remembered
 
     def __missing__(self, key):
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.remembered:
             self.former = dict(self)
             self.clear()
         value = self.former.get(key)
@@ -117,8 +118,8 @@ class ChunkIds:
         self.model = self.library.model
         self.apart = [s.encode() for s in (*self.chunks.special, *CONTROLS)]
         self.bytes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
-        self.words = Memory(self._word)
-        self.known = Memory(self._chunk)
+        self.words = Memory(self._word, WORDS_REMEMBERED)
+        self.known = Memory(self._chunk, CHUNKS_REMEMBERED)
 
     def _word(self, word: str) -> bytes:
         return b"".join([self.bytes[token.id] for token in self.model.tokenize(spelt(word))])
