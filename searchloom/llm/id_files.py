@@ -66,9 +66,9 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str = WORD_BPE, doc_id: st
 
         room = 0
         for batch in batches:
-            for part, document, value in zip(batch.column(0), batch.column(1), batch.column(2).cast(pa.binary()), strict=True):
+            for part, document, ids in zip(batch.column(0), batch.column(1), ids_of.each(batch.column(2).cast(pa.binary())), strict=True):
                 part = part.as_py()
-                ids = np.frombuffer(ids_of(value.as_py()) + end, "<u4")
+                ids = np.frombuffer(ids + end, "<u4")
                 for nth, low in enumerate(range(0, len(ids), BLOCK)):
                     piece = ids[low : low + BLOCK]
                     if len(piece) > room:

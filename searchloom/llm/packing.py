@@ -92,8 +92,8 @@ def pieces(
         ids_of = shared(ChunkIds, vocabulary.value)
         for batch in batches:
             rows, starts, lengths, checks, totals, bodies = [], [], [], [], [], []
-            for row, value in enumerate(batch.column(1).cast(pa.binary())):
-                ids = memoryview(ids_of(value.as_py() or b"") + end)
+            for row, ids in enumerate(ids_of.each(batch.column(1).cast(pa.binary()))):
+                ids = memoryview(ids + end)
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     part = ids[4 * start : 4 * (start + window)]

@@ -399,6 +399,26 @@ def test_memory_forgets_what_is_not_asked_for(monkeypatch):
     assert [memory[k] for k in "abcdabcaefghia"] == [k * 2 for k in "abcdabcaefghia"] and len(memory) + len(memory.former) <= 6
 
 
+def test_ids_of_many_texts_look_each_piece_up_once(monkeypatch):
+    """Different words and chunks are given to the model once, whatever texts they are in, and again only when forgotten."""
+    import pyarrow as pa
+
+    dice = random.Random(3)
+    pieces = ["the", "The", "thing,", "don't", "été", "ÉTÉ.", "a1b2", "x--y", "中文", "it's", "<|endoftext|>", "\x1c", "", "\u00a0z"]
+    texts = [None, "", *(" ".join(dice.choices(pieces, k=dice.randint(0, 30))) + dice.choice(["\n", "\x0b", ""]) for _ in range(300))]
+    want = [np.array(ids_of(text or ""), "<u4").tobytes() for text in texts]
+    given = pa.array([None if text is None else text.encode() for text in texts], pa.binary())
+    by_library, asked = vocabulary.ChunkIds(vocabulary.read_vocabulary()), Counter()
+    one = by_library._piece
+    by_library._piece = lambda piece: asked.update([piece]) or one(piece)
+    assert list(by_library.each(given)) == want
+    assert max(asked.values()) == 1
+    monkeypatch.setattr(vocabulary, "PART_BYTES", 40)
+    monkeypatch.setattr(vocabulary, "PIECES_REMEMBERED", 6)
+    assert list(by_library.each(given)) == want
+    assert max(asked.values()) > 1 and len(by_library.known) == len(by_library.first) - 1 < 40
+
+
 def test_minimisers_are_in_every_run():
     dice = np.random.default_rng(6)
     import pyarrow as pa
