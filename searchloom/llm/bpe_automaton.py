@@ -26,15 +26,18 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchloom.llm.vocabulary import WORD_BPE, Chunks, Memory, read_vocabulary, shared, spelt
+from searchloom.llm.vocabulary import WORD_BPE, ChunkIds, Memory, read_vocabulary, shared, spelt
 
 START = -1
 NEVER = 1 << 40
 ARCS = 1 << 20  # remembered transitions
+OUT_BYTES = 1 << 20  # of ids that are spelt out at a time
 
 
 class Automaton:
@@ -103,39 +106,29 @@ class Automaton:
         return path[::-1]
 
 
-class Codec:
+class Codec(ChunkIds):
     """Encoding and decoding of texts with the automaton of a vocabulary file's text."""
 
     def __init__(self, vocabulary: str):
+        super().__init__(vocabulary)
         settings = json.loads(vocabulary)
         model = settings["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in settings["added_tokens"]}
-        self.chunks = Chunks(vocabulary)
         if not self.chunks.by_chunk or settings["decoder"] is not None:
             raise ValueError("the automaton needs a vocabulary of words with word ends and no white space")
         labels = {i: s for s, i in [*model["vocab"].items(), *self.special.items()]}
-        self.labels = [labels.get(i, "") for i in range(max(labels) + 1)]
-        self.numbers = [str(i) for i in range(len(self.labels))]
-        self.words = Memory(self._word)
-        self.known = Memory(self._chunk)
+        self.labels = pa.array([labels.get(i, "") for i in range(max(labels) + 1)])
+        self.numbers = pa.array([str(i) for i in range(len(self.labels))])
+        self.words = Memory(lambda word: tuple(self.automaton.encode(spelt(word))))
 
     def _word(self, word: str) -> tuple[int, ...]:
-        return tuple(self.automaton.encode(spelt(word)))
+        return self.words[word]
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        words = self.chunks.words(chunk)
-        return self.words[words[0]] if len(words) == 1 else tuple(i for w in words for i in self.words[w])
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text; special tokens that it spells out count as themselves."""
-        if self.chunks.falls_apart(text):
-            found: list[int] = []
-            for ids in map(self.known.__getitem__, text.split()):
-                found += ids
-            return found
-        found = []
+    def _whole(self, text: str) -> list[int]:
+        """Special tokens that the text spells out count as themselves."""
+        found: list[int] = []
         while text:
             at, token = min(((text.find(s), s) for s in self.special if s in text), default=(len(text), ""))
             for word in self.chunks.pattern.findall(self.chunks.normal(text[:at])):
@@ -145,9 +138,21 @@ class Codec:
             text = text[at + len(token) :]
         return found
 
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return np.frombuffer(self(text.encode()), "<u4").tolist()
+
     def decode(self, ids: list[int]) -> str:
         """The labels of the arcs, as the library joins them."""
-        return " ".join(map(self.labels.__getitem__, ids))
+        return " ".join(self.labels.take(pa.array(ids, pa.uint32())).to_pylist())
+
+    def joined(self, ids: list[bytes]) -> tuple[pa.Array, pa.Array, pa.Array]:
+        """Of texts' ids as :meth:`each` yields them: how many, themselves in decimal, and their labels, joined by one space."""
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+        every = pa.array(np.frombuffer(b"".join(ids), "<u4"))
+        spelt_out = (pc.binary_join(pa.ListArray.from_arrays(ends, names.take(every)), " ") for names in (self.numbers, self.labels))
+        return pa.array(counts), *spelt_out
 
 
 def encode_and_decode(docs: DataFrame, path: str = WORD_BPE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -157,18 +162,14 @@ def encode_and_decode(docs: DataFrame, path: str = WORD_BPE, doc_id: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared(Codec, vocabulary.value)
         for batch in batches:
-            for low in range(0, len(batch), 500):
-                part = batch.slice(low, 500)
-                counts, ids, decoded = [], [], []
-                for value in part.column(1):
-                    found = codec.encode(value.as_py() or "")
-                    counts.append(len(found))
-                    ids.append(" ".join(map(codec.numbers.__getitem__, found)))
-                    decoded.append(codec.decode(found))
-                yield pa.record_batch(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                    ["doc_id", "n_tokens", "ids", "decoded"],
-                )
+            held, low, size = [], 0, 0
+            for row, ids in enumerate(codec.each(batch.column(1).cast(pa.binary())), start=1):
+                held.append(ids)
+                size += len(ids)
+                if size >= OUT_BYTES or row == len(batch):
+                    columns = [batch.column(0).slice(low, row - low), *codec.joined(held)]
+                    yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids", "decoded"])
+                    held, low, size = [], row, 0
 
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
         run, "doc_id long, n_tokens long, ids string, decoded string"

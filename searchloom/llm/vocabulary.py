@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -127,7 +127,7 @@ def gathered(values: np.ndarray, first: np.ndarray, chosen: np.ndarray) -> tuple
 
 
 class ChunkIds:
-    """Ids of whole texts (UTF-8) by the library, as bytes of little-endian unsigned 32-bit numbers.
+    """Ids of whole texts (UTF-8) by the library (subclasses: by ``_word``), as bytes of little-endian unsigned 32-bit numbers.
 
     Chunks are cut at ASCII white space; any other white space is left to the pattern. ASCII chunks without an apostrophe
     are cut into words on bytes, a part of the texts at a time. The different pieces (such words, and other chunks as
@@ -144,11 +144,18 @@ class ChunkIds:
         self.known = pa.array([], pa.large_binary())
         self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, "<u4")  # the ids of all known pieces
 
+    def _word(self, word: str) -> Sequence[int]:
+        return [token.id for token in self.model.tokenize(spelt(word))]
+
+    def _whole(self, text: str) -> list[int]:
+        """Ids of a text that doesn't fall apart."""
+        return self.library.encode(text, add_special_tokens=False).ids
+
     def _piece(self, piece: bytes) -> list[int]:
         """Ids of a lower-case ASCII word, or of a chunk that needs the pattern."""
         text = piece.decode()
         words = [text] if text.isascii() and "'" not in text else self.chunks.words(text)
-        return [token.id for word in words for token in self.model.tokenize(spelt(word))]
+        return [i for word in words for i in self._word(word)]
 
     def _learn(self, pieces: pa.Array) -> np.ndarray:
         """Where each piece is among the known ones, with the new ones added."""
@@ -187,7 +194,7 @@ class ChunkIds:
             if yes:
                 yield next(found)
             else:
-                yield np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                yield np.array(self._whole(text.decode()), "<u4").tobytes()
 
     def _cut(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of texts that fall apart."""

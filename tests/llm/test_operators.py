@@ -419,6 +419,24 @@ def test_ids_of_many_texts_look_each_piece_up_once(monkeypatch):
     assert max(asked.values()) > 1 and len(by_library.known) == len(by_library.first) - 1 < 40
 
 
+def test_the_automaton_reads_each_word_once(monkeypatch):
+    """Texts are encoded a part at a time, and a word that was read is looked up; ids and labels are joined as the library has them."""
+    import pyarrow as pa
+
+    texts = [None, "", "the thing, the THE thing", "don't thing " * 3, "thing <|endoftext|> the", "été the\x1cthe thing"] * 3
+    codec, read = bpe_automaton.Codec(vocabulary.read_vocabulary()), Counter()
+    one = codec.automaton.encode
+    codec.automaton.encode = lambda word: read.update([word]) or one(word)
+    monkeypatch.setattr(vocabulary, "PART_BYTES", 50)
+    ids = list(codec.each(pa.array([None if t is None else t.encode() for t in texts], pa.binary())))
+    want = [ids_of(t or "") for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == want
+    assert read["the"] == read["thing"] == 1 == max(read.values())
+    counts, numbers, labels = (x.to_pylist() for x in codec.joined(ids))
+    assert counts == list(map(len, want)) and numbers == [" ".join(map(str, x)) for x in want]
+    assert labels == list(map(codec.decode, want)) and labels[0] == ""
+
+
 def test_minimisers_are_in_every_run():
     dice = np.random.default_rng(6)
     import pyarrow as pa
