@@ -8,8 +8,8 @@ come last, which keeps the meetings small. The sample is 1/64 of the documents a
 kept of it is bounded by the threshold (shingles in 1/1000 of the documents: at most 1000 times the mean set size).
 
 1. At each shared shingle every class is paired with the one of smallest id: as many pairs as rows.
-2. Pairs are verified: size, then the bound by bitmaps (1024 bits; a bit that only one set has is a member that the
-   other lacks), then the intersection of the sorted arrays. Links make components.
+2. Pairs are verified: size, then the bound by bitmaps (a bit a member, 1024 bits at least; a bit that only one set has is
+   a member that the other lacks; the wider one is folded), then the intersection of the sorted arrays. Links make components.
 3. Shingles at which several components still meet: their classes, sorted by size, are cut into tiles; only tiles
    whose size bands can hold linked sets are compared, all signatures of one with all of the other, and pairs of
    different components that the bit counts allow are verified as before.
@@ -27,9 +27,11 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,7 @@ PERCENT = 85
 SAMPLE = 64
 HOT = 1000
 BITS = 1024
+BYTES_AT_ONCE = 512  # of the bitmaps of two tiles
 TILE = 512
 SET = ["n", "s1", "s2"]
 
@@ -80,12 +83,15 @@ def set_rows(texts: DataFrame, k: int, percent: int, hot) -> DataFrame:
                 lengths = np.where(sizes > 0, sizes - needed(sizes, percent) + 1, 0)
                 order = np.lexsort((values, count, text))
                 chosen = values[order][np.arange(len(values)) - first[text] < lengths[text]]
-                bits = np.zeros((len(part), BITS), np.uint8)
-                bits[text, (values & np.uint64(BITS - 1)).astype(np.int64)] = 1
+                wide = widths(sizes)
+                low = np.concatenate(([0], np.cumsum(wide)))
+                bits = np.zeros(low[-1], np.uint8)
+                bits[low[text] + (values.view(np.int64) & (wide[text] - 1))] = 1
+                bits, low = np.packbits(bits).tobytes(), (low // 8).tolist()
                 ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
                 columns += [
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(W.signed(chosen))),
-                    pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()),
+                    pa.array([bits[a:b] for a, b in zip(low, low[1:], strict=False)], pa.binary()),
                 ]
                 yield pa.record_batch(columns, ["doc_id", "id", "tag", *SET, "prefix", "bits"])
 
@@ -110,20 +116,45 @@ def frequent_shingles(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]
     return shingles[order], found.column(1).to_numpy()[order]
 
 
+def widths(sizes: np.ndarray) -> np.ndarray:
+    """Bits of the bitmaps of sets of these sizes: the next power of two, so that no bitmap fills up, and ``BITS`` at least."""
+    return np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+
+
 def signature(members: np.ndarray) -> np.ndarray:
     """The set's bitmap."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(members & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    wide = int(widths(np.array([len(members)]))[0])
+    bits = np.zeros(wide, np.uint8)
+    bits[(members & np.uint64(wide - 1)).astype(np.int64)] = 1
     return np.packbits(bits).view(np.uint64)
 
 
+def folded(bits: np.ndarray, n: int) -> np.ndarray:
+    """Bitmaps (along the last axis), folded to ``n`` of their units."""
+    return bits if bits.shape[-1] == n else np.bitwise_or.reduce(bits.reshape(*bits.shape[:-1], -1, n), axis=-2)
+
+
 def most_shared(size_a, size_b, bits_a: np.ndarray, bits_b: np.ndarray):
     """An upper bound of the members that sets share, from their sizes and bitmaps."""
+    least = min(bits_a.shape[-1], bits_b.shape[-1])
+    bits_a, bits_b = folded(bits_a, least), folded(bits_b, least)
     only_a = np.bitwise_count(bits_a & ~bits_b).sum(axis=-1, dtype=np.int64)
     only_b = np.bitwise_count(bits_b & ~bits_a).sum(axis=-1, dtype=np.int64)
     return np.minimum(size_a - only_a, size_b - only_b)
 
 
+def shared_bits(one: bytes, other: bytes, n_one: int, n_other: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bits that each of ``n_one`` bitmaps has in common with each of ``n_other``, at the smaller width; and the bits of each."""
+    a, b = np.frombuffer(one, np.uint8).reshape(n_one, -1), np.frombuffer(other, np.uint8).reshape(n_other, -1)
+    wide = min(a.shape[1], b.shape[1])
+    a, b = folded(a, wide), folded(b, wide)
+    common = np.zeros((n_one, n_other), np.float32)
+    for low in range(0, wide, BYTES_AT_ONCE):
+        x, y = (np.unpackbits(m[:, low : low + BYTES_AT_ONCE], axis=1).astype(np.float32) for m in (a, b))
+        common += x @ y.T
+    return common.astype(np.int64), *(np.bitwise_count(m).sum(axis=1, dtype=np.int64) for m in (a, b))
+
+
 def _linked(shared, size_a, size_b, percent: int):
     return 100 * shared >= percent * (size_a + size_b - shared)
 
@@ -133,10 +164,14 @@ def by_bitmap(percent: int):
 
     def make() -> stars.Test:
         def near(hub: int, n: int, payload: bytes, others: pa.Array, sizes: np.ndarray) -> np.ndarray:
-            sizes = sizes.astype(np.int64)
-            theirs = np.frombuffer(b"".join(others.to_pylist()), np.uint64).reshape(len(others), -1)
-            most = most_shared(n, sizes, np.frombuffer(payload, np.uint64)[None], theirs)
-            return (100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)) & _linked(most, n, sizes, percent)
+            sizes, mine = sizes.astype(np.int64), np.frombuffer(payload, np.uint64)[None]
+            near = 100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)
+            units = pc.binary_length(others).to_numpy() // 8
+            for wide in np.unique(units[near]).tolist():
+                rows = np.flatnonzero(near & (units == wide))
+                theirs = np.frombuffer(b"".join(others.take(pa.array(rows)).to_pylist()), np.uint64).reshape(len(rows), wide)
+                near[rows] = _linked(most_shared(n, sizes[rows], mine, theirs), n, sizes[rows], percent)
+            return near
 
         return near
 
@@ -203,19 +238,22 @@ def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int) -> DataFra
             table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             node, root, n = (table.column(i).to_numpy() for i in (4, 5, 6))
             second = table.column(3).to_numpy(zero_copy_only=False)
-            sets = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(len(node), -1)
+            maps = np.array(table.column(7).to_pylist(), object)
+            units = pc.binary_length(table.column(7)).to_numpy().astype(np.int64)
             inside = table.column(1)[0].as_py() == table.column(2)[0].as_py()
-            one, other = (np.arange(len(node)),) * 2 if inside else (np.flatnonzero(~second), np.flatnonzero(second))
-            bits = np.unpackbits(sets.view(np.uint8), axis=1).astype(np.float32)
-            set_bits = bits.sum(axis=1).astype(np.int64)
-            common = (bits[one] @ bits[other].T).astype(np.int64)
-            n_one, n_other = n[one, None], n[None, other]
-            most = np.minimum(n_one - set_bits[one, None] + common, n_other - set_bits[None, other] + common)
-            allowed = (root[one, None] != root[None, other]) & (np.minimum(n_one, n_other) * 100 >= percent * np.maximum(n_one, n_other))
-            i, j = np.nonzero(allowed & _linked(most, n_one, n_other, percent))
-            a, b = node[one[i]], node[other[j]]
-            once = a < b if inside else a != b
-            yield pa.record_batch([pa.array(np.minimum(a, b)[once]), pa.array(np.maximum(a, b)[once])], ["a", "b"])
+            left, right = (np.arange(len(node)),) * 2 if inside else (np.flatnonzero(~second), np.flatnonzero(second))
+            for x, y in product(np.unique(units[left]).tolist(), np.unique(units[right]).tolist()):
+                one, other = left[units[left] == x], right[units[right] == y]
+                n_one, n_other = n[one, None].astype(np.int64), n[None, other].astype(np.int64)
+                allowed = (root[one, None] != root[None, other]) & (np.minimum(n_one, n_other) * 100 >= percent * np.maximum(n_one, n_other))
+                if not allowed.any():
+                    continue
+                common, in_one, in_other = shared_bits(b"".join(maps[one]), b"".join(maps[other]), len(one), len(other))
+                most = np.minimum(n_one - in_one[:, None] + common, n_other - in_other + common)
+                i, j = np.nonzero(allowed & _linked(most, n_one, n_other, percent))
+                a, b = node[one[i]], node[other[j]]
+                once = a < b if inside else a != b
+                yield pa.record_batch([pa.array(np.minimum(a, b)[once]), pa.array(np.maximum(a, b)[once])], ["a", "b"])
 
         for batch in batches:
             if not len(batch):

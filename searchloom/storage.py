@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,11 +37,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/searchloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """The jobs inside remove their shuffle files when they end; else those stay until the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet and return the table read back from it."""
+    """Write ``df`` as Parquet and return the table read back from it; the shuffles of the write leave no files."""
     spark = df.sparkSession
     path = path or new_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_removed(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

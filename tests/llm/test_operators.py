@@ -148,6 +148,19 @@ def test_bitmaps_bound_the_intersection():
         assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
 
 
+@pytest.mark.parametrize("n", [900, 3000, 40_000])
+def test_bitmaps_tell_large_sets_apart(n):
+    """A bitmap grows with its set, so it never fills up; the wider one is folded."""
+    dice = np.random.default_rng(n)
+    a, b = (np.unique(dice.integers(0, 2**62, size).astype(np.uint64)) for size in (n, n + n // 9))
+    bits = [ngram_join.signature(x) for x in (a, b)]
+    common, in_a, in_b = ngram_join.shared_bits(bits[0].tobytes(), np.concatenate((bits[1], bits[1])).tobytes(), 1, 2)
+    bound = ngram_join.most_shared(len(a), len(b), *bits)
+    assert bound == min(len(a) - in_a[0] + common[0, 1], len(b) - in_b[1] + common[0, 1]) and common[0, 0] == common[0, 1]
+    assert not ngram_join._linked(bound, len(a), len(b), 80)
+    assert ngram_join.most_shared(len(b), len(b), bits[1], bits[1]) == len(b)
+
+
 def test_components_of_edges(spark):
     dice = random.Random(3)
     edges = [(dice.randrange(300), dice.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 440)]
