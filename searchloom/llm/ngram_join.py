@@ -12,7 +12,8 @@ kept of it is bounded by the threshold (shingles in 1/1000 of the documents: at
    a member that the other lacks; the wider one is folded), then the intersection of the sorted arrays. Links make components.
 3. Shingles at which several components still meet: their classes, sorted by size, are cut into tiles; only tiles
    whose size bands can hold linked sets are compared, all signatures of one with all of the other, and pairs of
-   different components that the bit counts allow are verified as before.
+   different components that the bit counts allow are verified as before: each class's likeliest partner in a tile first,
+   then, with the components that this makes, all.
 
 So all links count towards the components, though links inside a component needn't be spelt out. Sets are made once;
 texts travel deflated, those of classes that may be linked alone, and a hub's once per few thousand of its partners
@@ -209,10 +210,22 @@ def components(edges: DataFrame) -> DataFrame:
     return mapping
 
 
-def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows ``shingle``, ``node``, ``n``, ``root`` of shingles at which several components meet; one of those met by the same classes."""
+    with_roots = met.join(roots, "node", "left").select("shingle", "node", "n", F.coalesce("root", "node").alias("root"))
+    with_roots = written(with_roots, "rooted")
+    apart = with_roots.groupBy("shingle").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("count"),
+        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("one"), F.sum(F.hash("node").cast("long")).alias("two"),
+    ).where("low <> high").groupBy("count", "one", "two").agg(F.min("shingle").alias("shingle"))
+    return with_roots.join(written(apart.select("shingle"), "apart"), "shingle", "left_semi")
+
+
+def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
     """Pairs of different components among classes that meet at a shingle, which sizes and bitmaps allow.
 
-    ``rows``: ``shingle``, ``node``, ``root``, ``n``; ``signatures``: ``node``, ``bits``.
+    ``rows``: ``shingle``, ``node``, ``root``, ``n``; ``signatures``: ``node``, ``bits``. With ``nearest``, of each class's pairs
+    in a tile only the likeliest one.
     """
     by_size = Window.partitionBy("shingle").orderBy("n", "node")
     tiled = written(
@@ -250,7 +263,11 @@ def _tile_pairs(rows: DataFrame, signatures: DataFrame, percent: int) -> DataFra
                     continue
                 common, in_one, in_other = shared_bits(b"".join(maps[one]), b"".join(maps[other]), len(one), len(other))
                 most = np.minimum(n_one - in_one[:, None] + common, n_other - in_other + common)
-                i, j = np.nonzero(allowed & _linked(most, n_one, n_other, percent))
+                allowed &= _linked(most, n_one, n_other, percent)
+                if nearest:
+                    like = np.where(allowed, most / (n_one + n_other - most), 0)
+                    allowed &= (np.arange(len(other)) == like.argmax(axis=1)[:, None]) | (np.arange(len(one))[:, None] == like.argmax(axis=0))
+                i, j = np.nonzero(allowed)
                 a, b = node[one[i]], node[other[j]]
                 once = a < b if inside else a != b
                 yield pa.record_batch([pa.array(np.minimum(a, b)[once]), pa.array(np.maximum(a, b)[once])], ["a", "b"])
@@ -302,21 +319,21 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_
     links = linked(written(stars.tested(pairs, signatures, by_bitmap(percent)), "possible"))
     roots = components(links)
 
-    with_roots = met.join(roots, "node", "left").select("shingle", "node", "n", F.coalesce("root", "node").alias("root"))
-    with_roots = written(with_roots, "rooted")
-    apart = with_roots.groupBy("shingle").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("count"),
-        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("one"), F.sum(F.hash("node").cast("long")).alias("two"),
-    ).where("low <> high").groupBy("count", "one", "two").agg(F.min("shingle").alias("shingle"))  # one of those met by the same classes
-    rest = with_roots.join(written(apart.select("shingle"), "apart"), "shingle", "left_semi")
-    more = _tile_pairs(rest, classes.select("node", "bits"), percent).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = linked(written(more, "tile-pairs"))
-    if not more.isEmpty():
-        ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b")]
-        between = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
-            F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")
-        )
-        roots = components(links.unionByName(between))
+    rest = _apart(met, roots)
+    if not rest.isEmpty():  # each class with the likeliest one of its tile first: what is nearly alike is one component before all pairs
+        again = _tile_pairs(rest, classes.select("node", "bits"), percent, nearest=True).distinct()
+        again = written(again.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        found = linked(again)
+        if not found.isEmpty():
+            links = written(links.unionByName(found), "links")
+            roots = components(links)
+            rest = _apart(met, roots)
+        pairs = pairs.unionByName(again)
+        more = written(_tile_pairs(rest, classes.select("node", "bits"), percent).distinct().join(pairs, ["a", "b"], "left_anti"), "tile-pairs")
+        found = linked(more)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = components(links)
 
     named = classes.select(*SET, "node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))

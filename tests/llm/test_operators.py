@@ -161,6 +161,19 @@ def test_bitmaps_tell_large_sets_apart(n):
     assert ngram_join.most_shared(len(b), len(b), bits[1], bits[1]) == len(b)
 
 
+def test_the_likeliest_pair_of_each_class_comes_first(spark):
+    """Of a large group of near copies in a tile, one pair each, not all pairs, before components are known."""
+    dice = np.random.default_rng(4)
+    common, n = dice.integers(0, 2**62, 300), 60
+    sets = [np.unique(np.concatenate((common, dice.integers(0, 2**62, 5 + k % 3))).astype(np.uint64)) for k in range(n)]
+    rows = spark.createDataFrame([(7, k, k, len(x)) for k, x in enumerate(sets)], "shingle long, node long, root long, n int")
+    bits = spark.createDataFrame([(k, ngram_join.signature(x).tobytes()) for k, x in enumerate(sets)], "node long, bits binary")
+    every = {tuple(x) for x in ngram_join._tile_pairs(rows, bits, 85).collect()}
+    first = {tuple(x) for x in ngram_join._tile_pairs(rows, bits, 85, nearest=True).collect()}
+    assert len(every) == n * (n - 1) // 2 and first < every and len(first) <= 2 * n
+    assert {x for pair in first for x in pair} == set(range(n))
+
+
 def test_components_of_edges(spark):
     dice = random.Random(3)
     edges = [(dice.randrange(300), dice.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 440)]
