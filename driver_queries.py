@@ -50,10 +50,17 @@ blocks AS (SELECT greatest(1, CAST(ceil(count(*) / 400.0) AS BIGINT)) AS b FROM
 DOCUMENTS_PER_BLOCK = 400
 
 
-def _blocks(spark: SparkSession, sf_dir: str, counts: DataFrame) -> DataFrame:
-    """Posting blocks by a block number that SQL can compute as well."""
+def _block(spark: SparkSession, sf_dir: str) -> Column:
+    """A document's block, by a number that SQL can compute as well."""
     n_blocks = textindex.block_count(given.table(spark, sf_dir, "documents"), DOCUMENTS_PER_BLOCK)
-    return textindex.posting_blocks(counts, block=F.pmod(F.col("doc_id"), F.lit(n_blocks)))
+    return F.pmod(F.col("doc_id"), F.lit(n_blocks))
+
+
+def _word_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posting blocks of the words of all documents."""
+    docs = given.table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = textindex.tokenize(textindex.in_blocks(docs, _block(spark, sf_dir)), "block")
+    return textindex.posting_blocks(textindex.term_counts(words, "block"), block=F.col("block"))
 
 
 def _as_text(blocks: DataFrame) -> DataFrame:
@@ -84,7 +91,7 @@ def idx_unigram(spark, sf_dir):
 
 @compared(f"WITH {TOKENS_SQL} {_postings_sql('counts')}")
 def idx_postings(spark, sf_dir):
-    return _as_text(_blocks(spark, sf_dir, idx_unigram(spark, sf_dir)))
+    return _as_text(_word_blocks(spark, sf_dir))
 
 
 @compared(f"""WITH {TOKENS_SQL}, phrase_counts AS (
@@ -92,13 +99,13 @@ def idx_postings(spark, sf_dir):
 {_postings_sql('phrase_counts')}""")
 def idx_phrase(spark, sf_dir):
     found = textindex.phrase_occurrences(given.documents(spark, sf_dir), PHRASES)
-    return _as_text(_blocks(spark, sf_dir, textindex.term_counts(found)))
+    return _as_text(textindex.posting_blocks(textindex.term_counts(found), block=_block(spark, sf_dir)))
 
 
 @compared(f"WITH {TOKENS_SQL} SELECT term, CAST(doc_id AS VARCHAR) AS doc_id, n FROM counts")
 def idx_parse(spark, sf_dir):
     path = new_path(spark, "index-text")
-    index_text.write_index(_blocks(spark, sf_dir, idx_unigram(spark, sf_dir)), path)
+    index_text.write_index(_word_blocks(spark, sf_dir), path)
     return index_text.read_index(spark, path)
 
 

@@ -18,9 +18,9 @@ from searchloom.functions import text as words_of
 DOCUMENTS_PER_BLOCK = 250_000
 
 
-def tokenize(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` to ``(doc_id, pos, term)``."""
-    return docs.select("doc_id", F.posexplode(words_of.words(F.col("text"))).alias("pos", "term"))
+def tokenize(docs: DataFrame, *kept: str) -> DataFrame:
+    """``(doc_id, text)`` to ``(doc_id, pos, term)``, after the columns ``kept``."""
+    return docs.select(*kept, "doc_id", F.posexplode(words_of.words(F.col("text"))).alias("pos", "term"))
 
 
 def bigrams(docs: DataFrame) -> DataFrame:
@@ -45,9 +45,12 @@ def phrase_occurrences(
     return words.select("doc_id", F.inline(wanted))
 
 
-def term_counts(occurrences: DataFrame) -> DataFrame:
-    """``(term, doc_id, n)``; counted on the map side first, so a shuffle row per posting."""
-    return occurrences.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+def term_counts(occurrences: DataFrame, *kept: str) -> DataFrame:
+    """``(term, doc_id, n)``; counted on the map side first, so a shuffle row per posting.
+
+    ``kept`` columns that follow from the document stay, too; rows that are dealt out by them aren't shuffled again.
+    """
+    return occurrences.groupBy(*kept, "term", "doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def block_count(
@@ -63,6 +66,14 @@ def block_count(
     return max(1, -(-n_documents // documents_per_block))
 
 
+def in_blocks(docs: DataFrame, block: Column) -> DataFrame:
+    """``docs`` with their ``block``, dealt out by it.
+
+    The texts are shuffled once; counting (``kept="block"``) and folding the postings of a block need no other shuffle.
+    """
+    return docs.withColumn("block", block.cast("int")).repartition("block")
+
+
 def posting_blocks(counts: DataFrame, n_blocks: int = 1, block: Column | None = None) -> DataFrame:
     """``(term, block, n_docs, postings)``, postings ordered by document.
 
