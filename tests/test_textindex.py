@@ -1,16 +1,21 @@
 import random
 import re
+import sys
 from collections import Counter
+from pathlib import Path
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from searchloom import fixed_values as fixed
-from searchloom.functions import text
-from searchloom.operators import textindex
-from searchloom.plans import jobs
-from searchloom.sources import documents, index_text
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import driver_queries  # noqa: E402
+from searchloom import fixed_values as fixed  # noqa: E402
+from searchloom.functions import text  # noqa: E402
+from searchloom.operators import textindex  # noqa: E402
+from searchloom.plans import jobs  # noqa: E402
+from searchloom.sources import documents, index_text  # noqa: E402
 
 
 def docs_of(spark, rows):
@@ -132,3 +137,19 @@ def test_word_windows(spark):
     assert windows(3, 3, 2) == ["0 1 2"]
     assert windows(4, 3, 2) == ["0 1 2", "2 3"]
     assert windows(7, 3, 2) == ["0 1 2", "2 3 4", "4 5 6"]
+
+
+def test_words_are_indexed_with_one_shuffle(spark, tmp_path):
+    rows = [(n % 900, f"word{chr(97 + n % 26)} The the x{chr(97 + n % 7)}") for n in range(1000)] + [(3, "the"), (None, "the the"), (5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    blocks = driver_queries.idx_postings(spark, str(tmp_path))
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(block" in plan
+    found = {}
+    for row in blocks.collect():
+        for posting in row.postings.split():
+            doc, n = posting.split(":")
+            assert (row.term, doc) not in found and row.block == int(doc) % 3
+            found[row.term, doc] = int(n)
+    known = [(str(doc), text) for doc, text in rows if doc is not None and text is not None]
+    assert found == counted(known)
