@@ -4,119 +4,124 @@ Each block begins with an empty model and can be read alone. For every id the mo
 
 * order 2: the id that followed the last two ids (hashed), with a count of how often in a row it was right,
 * order 1: the same for the last id,
-* order 0: how often each id occurred, in groups of 64,
-* new: an id that the block hasn't had yet, written out; ids are numbered as they come up.
+* order 0: how often each id occurred in the block so far (its latest ``WINDOW`` ids), counted anew when an eighth has
+  come in, or ``EVERY`` ids,
+* literal: an id that none of them has, written out.
 
-The mixture gives the order-2 id a share of the range, the order-1 id a share of the rest, new ids one of what is
-left, and order 0 the remainder. The shares are success rates so far (at that run of right predictions), so the
-weights adapt. The coder is a carry-less range coder with 64-bit state and 16-bit output.
+The mixture shares the range out among the four. Its weights are kept by how sure orders 1 and 2 are (both counts, and
+whether they agree) and move towards what was right. The coder has a 48-bit state and 16-bit output; carries are
+added to the output at the end.
 
 Blocks are independent, so a task codes many side by side: each NumPy operation does one step of one id in all of
-them. ``encode`` and ``decode`` run the same model in the same order with whole numbers only.
+them. ``encode`` and ``decode`` run the same model in the same order with whole numbers only; those of the interval are
+held in doubles, which are exact up to 2^53.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
-MAGIC = b"IDR1"
-SHARES = 1 << 12  # the mixture's whole
-LEFT = 64  # least share of order 0
-GROUP = 64
-STEP = 12  # what an occurrence adds
-MOST = 60_000
-ONE, TWO, RUNS = 1 << 12, 1 << 12, 16
-BOTTOM = np.uint64(1 << 40)
-WORD, HIGH = np.uint64(16), np.uint64(48)
-SIDE_BY_SIDE = 768
+MAGIC = b"IDR2"
+CONTEXTS, RUN_BITS = 1 << 11, 3
+RUNS = 1 << RUN_BITS
+STATES = 2 * RUNS * RUNS
+SHARES = 14  # bits of the mixture's whole
+RATE, LEFT = 4, 64  # how fast weights move, and what an unlikely share moves to
+TWO, ONE, LITERAL, OLD = range(4)
+FIRST, PART, EVERY, WINDOW = 16, 8, 512, 1 << 14
+TOP, BOTTOM, WORD = 2.0**48, 2.0**32, 2.0**16
+LARGEST = 1 << 20  # ids
+SIDE_BY_SIDE = 1024
+
+# Where the four shares begin, 16 bits each, packed in one number: at first, and what each outcome adds in a step.
+_EACH, _LOW = 0x0001_0001_0001_0001, (1 << SHARES) - 1  # the last bit of every field, a field
+_OVER = _EACH << SHARES
+_KEPT = ((1 << 16 - RATE) - 1) * _EACH
+_EVEN = sum(k << (SHARES - 2) + 16 * k for k in range(4))
+_DRAWN = np.array([
+    sum(sum(LEFT if j != right else (1 << SHARES) - 3 * LEFT for j in range(k)) >> RATE << 16 * k for k in range(4)) for right in range(4)
+])
 
 
 class Model:
-    """The state of ``b`` blocks of up to ``size`` different ids, which go by their numbers."""
-
-    def __init__(self, b: int, size: int):
-        self.groups = -(-size // GROUP)
-        self.rows = np.arange(b)
-        self.seen = np.zeros(b, np.int64)
-        self.missed = np.full(b, 2, np.int64)
-        self.guess = [np.zeros(b * ONE, np.int32), np.zeros(b * TWO, np.int32)]  # number and run
-        self.tried = [np.full(b * RUNS, 1 << 32 | 2, np.int64), np.full(b * RUNS, 1 << 32 | 2, np.int64)]  # hits and tries
-        self.counts = np.zeros((b * self.groups, GROUP), np.uint16)
-        self.sums = np.zeros((b, self.groups), np.int64)
-        self.before, self.before2 = np.zeros(b, np.uint32), np.zeros(b, np.uint32)
-
-    def shares(self, m: int):
-        """Shares of the order-2 number, the order-1 number and new ids in the first ``m`` blocks, and both numbers."""
-        rows, one, two = self.rows[:m], self.before[:m], self.before2[:m]
-        first = rows * ONE + (one & np.uint32(ONE - 1))
-        second = rows * TWO + (((one * np.uint32(0x85EBCA6B)) ^ (two * np.uint32(0xC2B2AE35))) >> np.uint32(20))
-        self.places = (first, second)
-        held = (self.guess[0][first], self.guess[1][second])
-        self.guessed = (held[0] >> 4, held[1] >> 4)
-        self.runs = (held[0] & 15, held[1] & 15)
-        self.cells = tuple(rows * RUNS + r for r in self.runs)
-        tried = [self.tried[k][self.cells[k]] for k in (0, 1)]
-        rate = [(x >> 32) * (SHARES - LEFT) // (x & 0xFFFFFFFF) for x in tried]
-        by_two = np.where(self.runs[1] > 0, np.maximum(rate[1], 1), 0)
-        free = SHARES - LEFT - by_two
-        by_one = np.where(
-            (self.runs[0] > 0) & ((self.guessed[0] != self.guessed[1]) | (by_two == 0)),
-            np.maximum(rate[0] * free >> 12, 1), 0,
-        )
-        by_new = (free - by_one) * (self.seen[:m] + 1) // self.missed[:m]
-        return by_two, by_one, np.clip(by_new, 8, np.maximum(free - by_one, 8)), self.guessed[1], self.guessed[0]
-
-    def groups_below(self, rows: np.ndarray) -> np.ndarray:
-        """Running sums of the groups of some blocks."""
-        return np.cumsum(self.sums[rows, : int(self.seen[rows].max(initial=0)) // GROUP + 1], axis=1)
-
-    def learn(self, numbers: np.ndarray, guessed: np.ndarray) -> None:
-        """Take in the numbers of this step; ``guessed``: coded by order 1 or 2."""
-        m = len(numbers)
-        for k in (0, 1):
-            right, run, cells = numbers == self.guessed[k], self.runs[k], self.cells[k]
-            stay = right & (run > 0)
-            self.tried[k][cells] += (stay.astype(np.int64) << 32) + (run > 0)
-            self.guess[k][self.places[k]] = np.where(
-                stay, self.guessed[k] << 4 | np.minimum(run + 1, RUNS - 1),
-                np.where(run > 1, self.guessed[k] << 4 | run >> 1, numbers << 4 | 1),
-            )
-        group, lane = numbers // GROUP, numbers % GROUP
-        cells = self.rows[:m] * self.groups + group
-        self.counts[cells, lane] += np.uint16(STEP)
-        self.sums[self.rows[:m], group] += STEP
-        large = np.flatnonzero(self.counts[cells, lane] > MOST)
-        if len(large):
-            self.counts[cells[large]] = (self.counts[cells[large]] + 1) >> 1
-        self.missed[:m] += ~guessed
-        self.seen[:m] += numbers == self.seen[:m]
-        self.before2[:m] = self.before[:m]
-        self.before[:m] = numbers
-
-
-class State:
-    """The coder's interval in each block."""
+    """Orders 1 and 2 of ``b`` blocks, and the mixture."""
 
     def __init__(self, b: int):
-        self.low, self.width = np.zeros(b, np.uint64), np.full(b, 2**64 - 1, np.uint64)
-
-    def take(self, rows, start: np.ndarray, share: np.ndarray, part: np.ndarray) -> None:
-        """Narrow to ``share`` parts from ``start`` on."""
-        self.low[rows] += start.astype(np.uint64) * part
-        self.width[rows] = share.astype(np.uint64) * part
-
-    def shift(self, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """Blocks whose top 16 bits are settled, and those bits; they are shifted out."""
-        low, width = self.low[:m], self.width[:m]
-        same = (low ^ (low + width)) >> HIGH == 0
-        now = np.flatnonzero(same | (width < BOTTOM))
-        low, width = low[now], width[now]
-        width = np.where(same[now], width, (np.uint64(0) - low) & (BOTTOM - np.uint64(1)))
-        self.low[now], self.width[now] = low << WORD, width << WORD
-        return now, low >> HIGH
+        lanes = np.arange(b)
+        self.held = np.zeros(2 * b * CONTEXTS, np.int32)  # id and run
+        self.rows = np.stack([lanes, lanes + b]) * CONTEXTS
+        self.mixture, self.states = np.full(b * STATES, _EVEN), lanes * STATES
+
+    def places(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Where the followers of the last id and of the last two are held, for the first blocks; in the last two axes."""
+        m = one.shape[-1]
+        found = np.empty((*one.shape[:-1], 2, m), np.int64)
+        np.bitwise_and(one, CONTEXTS - 1, out=found[..., 0, :])
+        mixed = one * 0x2C1B3C6D
+        mixed += two * 0x297A2D39
+        mixed >>= 12
+        np.bitwise_and(mixed, CONTEXTS - 1, out=found[..., 1, :])
+        found += self.rows[:, :m]
+        return found
+
+    def predict(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of orders 1 and 2, and where the four shares begin."""
+        self.at, self.now = places, self.held.take(places, mode="clip")
+        ids = self.now >> RUN_BITS
+        run = self.now.astype(np.int8)
+        run &= RUNS - 1
+        state = (ids[0] == ids[1]).view(np.int8)
+        for one in run:
+            state <<= RUN_BITS
+            state |= one
+        self.state = state.astype(np.int64)
+        self.state += self.states[: len(state)]
+        self.begins = self.mixture.take(self.state, mode="clip")
+        return ids, self.begins
+
+    def learn(self, x: np.ndarray, right: np.ndarray, which: np.ndarray) -> None:
+        """Take in this step's ids, whether orders 1 and 2 had them, and which share coded them."""
+        down = self.begins >> RATE
+        down &= _KEPT
+        self.begins -= down
+        self.begins += _DRAWN.take(which, mode="clip")
+        self.mixture[self.state] = self.begins
+        more = self.now + 1
+        self.now |= RUNS - 1
+        self.held[self.at] = np.where(right, np.minimum(more, self.now), x << RUN_BITS)
+
+
+def _taken(begins: np.ndarray, which: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chosen shares begin, and how wide they are, ``part`` being the range over the whole."""
+    which = which << 4
+    low = begins >> which
+    wide = begins >> 16
+    wide >>= which
+    wide -= low
+    wide &= _LOW
+    low &= _LOW
+    return low * part, wide * part
+
+
+def _stretches(longest: int) -> Iterator[tuple[int, int, int]]:
+    """From where to where order 0 stays, and over how many of the ids before."""
+    low, high = 0, FIRST
+    while low < longest:
+        yield low, min(high, longest), min(low, WINDOW)
+        low, high = high, high + min(max(high // PART, FIRST), EVERY)
+
+
+def _runs(latest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row's ids in order: where equal ones begin (in the slots of all rows), how many they are, and the id."""
+    ordered = np.sort(latest, axis=1, kind="stable")
+    first = np.ones(latest.shape, bool)
+    np.not_equal(ordered[:, 1:], ordered[:, :-1], out=first[:, 1:])
+    at = np.flatnonzero(first)
+    return at, np.diff(at, append=latest.size), ordered.ravel()[at].astype(np.int64)
 
 
 def _active(lengths: np.ndarray) -> np.ndarray:
@@ -124,65 +129,104 @@ def _active(lengths: np.ndarray) -> np.ndarray:
     return np.searchsorted(-lengths, -np.arange(lengths.max(initial=0)), "left")
 
 
-def _numbered(ids: np.ndarray) -> np.ndarray:
-    """Ids numbered in the order in which they first occur."""
-    _, first, which = np.unique(ids, return_index=True, return_inverse=True)
-    numbers = np.empty(len(first), np.int64)
-    numbers[np.argsort(first)] = np.arange(len(first))
-    return numbers[which]
-
-
 def encode(blocks: list[np.ndarray], size: int) -> list[bytes]:
     """Code each array of ids below ``size``."""
+    if size > LARGEST:
+        raise ValueError(f"a vocabulary has {LARGEST} ids at most")
     result: list[bytes] = [b""] * len(blocks)
     by_length = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
     for low in range(0, len(blocks), SIDE_BY_SIDE):
         chosen = by_length[low : low + SIDE_BY_SIDE]
-        for k, (coded, different) in zip(chosen, _encode([blocks[k] for k in chosen], size), strict=True):
-            body = struct.pack("<III", len(blocks[k]), different, zlib.crc32(blocks[k].astype("<u4").tobytes())) + coded
+        for k, coded in zip(chosen, _encode([blocks[k] for k in chosen], size), strict=True):
+            body = struct.pack("<II", len(blocks[k]), zlib.crc32(blocks[k].astype("<u4").tobytes())) + coded
             result[k] = MAGIC + struct.pack("<I", zlib.crc32(body)) + body
     return result
 
 
-def _encode(blocks: list[np.ndarray], size: int) -> list[tuple[bytes, int]]:
+def _order0(ids: np.ndarray, begin: int, end: int, n: int, size: int) -> np.ndarray:
+    """First slot and number of slots of the ids from ``begin`` to ``end`` among the ``n`` ids before, packed; none: 0."""
+    found, looked = np.zeros(size, np.int64), np.zeros((len(ids), end - begin), np.int64)
+    if n:
+        at, many, which = _runs(ids[:, begin - n : begin])
+        packed, rows = (at % n) << 16 | many, np.searchsorted(at, np.arange(len(ids) + 1) * n).tolist()
+        for k, (low, high) in enumerate(zip(rows[:-1], rows[1:])):  # one block at a time
+            found[which[low:high]] = packed[low:high]
+            found.take(ids[k, begin:end], out=looked[k], mode="clip")
+            found[which[low:high]] = 0
+    return looked.T
+
+
+def _encode(blocks: list[np.ndarray], size: int) -> list[bytes]:
     b, lengths = len(blocks), np.array([len(x) for x in blocks])
-    ids, numbers = (np.zeros((lengths.max(initial=0), b), np.int32) for _ in range(2))
+    ids = np.zeros((b, lengths.max(initial=0)), np.uint16 if size <= 1 << 16 else np.int32)
     for k, block in enumerate(blocks):
-        ids[: len(block), k], numbers[: len(block), k] = block, _numbered(block)
-    different = numbers.max(axis=0, initial=-1) + (lengths > 0)
-    model, state = Model(b, int(different.max(initial=0)) + 1), State(b)
-    out, used = np.zeros((b, len(ids) + 64), np.uint16), np.zeros(b, np.int64)
-    for t, m in enumerate(_active(lengths).tolist()):
-        x = numbers[t, :m]
-        by_two, by_one, by_new, two, one = model.shares(m)
-        is_two = (x == two) & (by_two > 0)
-        is_one = ~is_two & (x == one) & (by_one > 0)
-        guessed, is_new = is_two | is_one, x == model.seen[:m]
-        both = by_two + by_one
-        start = np.where(is_two, 0, np.where(is_one, by_two, np.where(is_new, both, both + by_new)))
-        share = np.where(is_two, by_two, np.where(is_one, by_one, np.where(is_new, by_new, SHARES - both - by_new)))
-        state.take(slice(m), start, share, state.width[:m] // np.uint64(SHARES))
-        fresh = np.flatnonzero(is_new)
-        state.take(fresh, ids[t, fresh], np.ones(len(fresh)), state.width[fresh] // np.uint64(size))
-        old = np.flatnonzero(~(guessed | is_new))
-        if len(old):
-            group, lane, each = x[old] // GROUP, x[old] % GROUP, np.arange(len(old))
-            below = model.groups_below(old)
-            share = model.sums[old, group]
-            state.take(old, below[each, group] - share, share, state.width[old] // below[:, -1].astype(np.uint64))
-            counts = model.counts[old * model.groups + group]
-            sums = np.cumsum(counts, axis=1, dtype=np.int64)
-            share = counts[each, lane].astype(np.int64)
-            state.take(old, sums[each, lane] - share, share, state.width[old] // sums[:, -1].astype(np.uint64))
-        while len((shifted := state.shift(m))[0]):
-            out[shifted[0], used[shifted[0]]] = shifted[1]
-            used[shifted[0]] += 1
-        if used.max() + 8 > out.shape[1]:
-            out = np.pad(out, ((0, 0), (0, out.shape[1])))
-        model.learn(x, guessed)
-    for k in range(4):
-        out[np.arange(b), used + k] = (state.low >> np.uint64(48 - 16 * k)).astype(np.uint16)
-    return [(out[k, : used[k] + 4].astype("<u2").tobytes(), int(different[k])) for k in range(b)]
+        ids[k, : len(block)] = block
+    active = _active(lengths).tolist()
+    model, low, width = Model(b), np.zeros(b), np.full(b, TOP)
+    room = ids.shape[1] * (size.bit_length() + SHARES) // 16 + 8  # words; an id has less bits
+    out, used = np.zeros(b * room, np.uint32), np.arange(b) * room
+    before = np.zeros((2, b), np.int32)  # the last two ids of each block
+    for begin, end, n in _stretches(ids.shape[1]):
+        m = active[begin]
+        here = np.concatenate((before[:, :m], ids[:m, begin:end].T), dtype=np.int32)
+        past, before, here = here[:2], here[-2:], here[2:]
+        old = _order0(ids[:m], begin, end, n, size)
+        is_old = old > 0
+        past = np.concatenate((past, here), dtype=np.int64)
+        places = model.places(past[1:-1], past[:-2])
+        plain = np.where(is_old, np.int8(OLD), np.int8(LITERAL))
+        starts, shares = np.where(is_old, old >> 16, here).astype(float), np.where(is_old, (old & 0xFFFF) - 1, 0).astype(float)
+        wholes = np.where(is_old, n - 1.0, size - 1.0)
+        for t in range(end - begin):
+            m = active[begin + t]
+            x = here[t, :m]
+            guessed, begins = model.predict(places[t, :, :m])
+            right = guessed == x
+            by_one, by_two = right.view(np.int8)
+            rest = by_one | by_two
+            rest ^= 1
+            which = plain[t, :m] * rest
+            which += (by_one > by_two).view(np.int8)
+            which, rest = which.astype(np.int64), rest.astype(float)
+            start, wide = _taken(begins, which, np.floor(width[:m] * 0.5**SHARES))
+            whole = wholes[t, :m] * rest
+            whole += 1
+            part = np.floor(wide / whole)
+            inner = starts[t, :m] * rest
+            inner *= part
+            start += inner
+            low[:m] += start
+            share = shares[t, :m] * rest
+            share += 1
+            part *= share
+            width[:m] = part
+            model.learn(x, right, which)
+            now = np.flatnonzero(part < BOTTOM)
+            while len(now):
+                value, at = low[now], used[now]
+                word = np.floor(value * (1 / BOTTOM))
+                out[at] = word.astype(np.uint32)
+                used[now] = at + 1
+                word *= BOTTOM
+                value -= word
+                value *= WORD
+                low[now] = value
+                value = width[now] * WORD
+                width[now] = value
+                now = now[value < BOTTOM]
+    low, used = low.astype(np.int64), used - np.arange(b) * room
+    out = out.reshape(b, room)
+    for k, word in enumerate((low >> 32, low >> 16 & 0xFFFF, low & 0xFFFF)):
+        out[np.arange(b), used + k] = word
+    return [_carried(out[k, :n]) for k, n in enumerate((used + 3).tolist())]
+
+
+def _carried(words: np.ndarray) -> bytes:
+    """Words of 16 bits, carries added to the words before."""
+    while (over := words >> 16).any():
+        words &= 0xFFFF
+        words[:-1] += over[1:]
+    return words.astype("<u2").tobytes()
 
 
 def decode(coded: list[bytes], size: int) -> list[np.ndarray]:
@@ -192,68 +236,79 @@ def decode(coded: list[bytes], size: int) -> list[np.ndarray]:
     for block in coded:
         if block[:4] != MAGIC or struct.unpack("<I", block[4:8])[0] != zlib.crc32(block[8:]):
             raise ValueError("a block of ids is damaged")
-        heads.append(struct.unpack("<III", block[8:20]))
+        heads.append(struct.unpack("<II", block[8:16]))
     by_length = sorted(range(len(coded)), key=lambda k: -heads[k][0])
     for low in range(0, len(coded), SIDE_BY_SIDE):
         chosen = by_length[low : low + SIDE_BY_SIDE]
-        lengths, different = (np.array([heads[k][i] for k in chosen]) for i in (0, 1))
-        found = _decode([coded[k][20:] for k in chosen], lengths, int(different.max()), size)
+        found = _decode([coded[k][16:] for k in chosen], np.array([heads[k][0] for k in chosen]), size)
         for k, ids in zip(chosen, found, strict=True):
-            if zlib.crc32(ids.astype("<u4").tobytes()) != heads[k][2]:
+            if zlib.crc32(ids.astype("<u4").tobytes()) != heads[k][1]:
                 raise ValueError("a block of ids is damaged")
             result[k] = ids
     return result
 
 
-def _decode(coded: list[bytes], lengths: np.ndarray, different: int, size: int) -> list[np.ndarray]:
+def _decode(coded: list[bytes], lengths: np.ndarray, size: int) -> list[np.ndarray]:
     b = len(coded)
-    numbers = np.zeros((lengths.max(initial=0), b), np.int32)
-    names = np.zeros((b, different + 1), np.uint32)
-    words = np.zeros((b, max(map(len, coded)) // 2 + 8), np.uint16)
+    ids = np.zeros((lengths.max(initial=0), b), np.uint16 if size <= 1 << 16 else np.int32)
+    words = np.zeros((b, max(map(len, coded)) // 2), np.uint16)
     for k, block in enumerate(coded):
         words[k, : len(block) // 2] = np.frombuffer(block, "<u2")
-    model, state = Model(b, different + 1), State(b)
-    code, used = np.zeros(b, np.uint64), np.full(b, 4)
-    for k in range(4):
-        code = (code << WORD) | words[:, k]
-
-    def at(rows, part: np.ndarray, whole) -> np.ndarray:
-        return np.minimum((code[rows] - state.low[rows]) // part, np.asarray(whole - 1).astype(np.uint64)).astype(np.int64)
-
-    for t, m in enumerate(_active(lengths).tolist()):
-        by_two, by_one, by_new, two, one = model.shares(m)
-        part = state.width[:m] // np.uint64(SHARES)
-        place, both = at(slice(m), part, SHARES), by_two + by_one
-        is_two = place < by_two
-        guessed = place < both
-        is_one, is_new = ~is_two & guessed, ~guessed & (place < both + by_new)
-        start = np.where(is_two, 0, np.where(is_one, by_two, np.where(is_new, both, both + by_new)))
-        share = np.where(is_two, by_two, np.where(is_one, by_one, np.where(is_new, by_new, SHARES - both - by_new)))
-        state.take(slice(m), start, share, part)
-        x = np.where(is_two, two, np.where(is_one, one, model.seen[:m])).astype(np.int32)
-        fresh = np.flatnonzero(is_new)
-        part = state.width[fresh] // np.uint64(size)
-        name = at(fresh, part, size)
-        state.take(fresh, name, np.ones(len(fresh)), part)
-        names[fresh, x[fresh]] = name
-        old = np.flatnonzero(~(guessed | is_new))
-        if len(old):
-            each = np.arange(len(old))
-            below = model.groups_below(old)
-            part = state.width[old] // below[:, -1].astype(np.uint64)
-            group = (below <= at(old, part, below[:, -1])[:, None]).sum(axis=1)
-            share = model.sums[old, group]
-            state.take(old, below[each, group] - share, share, part)
-            counts = model.counts[old * model.groups + group]
-            sums = np.cumsum(counts, axis=1, dtype=np.int64)
-            part = state.width[old] // sums[:, -1].astype(np.uint64)
-            lane = (sums <= at(old, part, sums[:, -1])[:, None]).sum(axis=1)
-            share = counts[each, lane].astype(np.int64)
-            state.take(old, sums[each, lane] - share, share, part)
-            x[old] = group * GROUP + lane
-        numbers[t, :m] = x
-        while len((now := state.shift(m)[0])):
-            code[now] = (code[now] << WORD) | words[now, used[now]]
-            used[now] += 1
-        model.learn(x, guessed)
-    return [names[k][numbers[:n, k]] for k, n in enumerate(lengths.tolist())]
+    code = words[:, 0] * 2.0**32 + words[:, 1] * 2.0**16 + words[:, 2]
+    used, words = np.arange(b) * words.shape[1] + 3, words.ravel()
+    active = _active(lengths).tolist()
+    model, width, lanes = Model(b), np.full(b, TOP), np.arange(b)
+    one, two = np.zeros((2, b), np.int64)
+    packed, run_of = np.zeros(0, np.int64), np.zeros(0, np.int32)
+    for begin, end, n in _stretches(len(ids)):
+        if n:
+            at, many, value = _runs(np.ascontiguousarray(ids[begin - n : begin, : active[begin]].T))
+            packed = value << 32 | (at % n) << 16 | many
+            run_of = np.repeat(np.arange(len(at), dtype=np.int32), many)  # of each slot of all blocks
+        rows = lanes * n
+        for t in range(begin, end):
+            m = active[t]
+            guessed, begins = model.predict(model.places(one[:m], two[:m]))
+            part = np.floor(width[:m] * 0.5**SHARES)
+            reached = (code[:m] / part).astype(np.int64)
+            reached *= _EACH
+            reached |= _OVER
+            reached -= begins
+            reached &= _OVER
+            which = np.bitwise_count(reached).astype(np.int64)
+            which -= 1
+            start, wide = _taken(begins, which, part)
+            left = code[:m] - start
+            x = np.where(which == TWO, guessed[1], guessed[0])
+            old = np.flatnonzero(which == OLD)
+            if len(old):
+                part, rest = np.floor(wide[old] / n), left[old]
+                slot = (rest / part).astype(np.int64)
+                slot += rows[old]
+                slot = packed.take(run_of.take(slot, mode="clip"), mode="clip")
+                x[old] = slot >> 32
+                left[old] = rest - (slot >> 16 & 0xFFFF) * part
+                wide[old] = (slot & 0xFFFF) * part
+            new = np.flatnonzero(which == LITERAL)
+            if len(new):
+                part, rest = np.floor(wide[new] / size), left[new]
+                value = np.floor(rest / part)
+                x[new] = value
+                left[new] = rest - value * part
+                wide[new] = part
+            code[:m], width[:m] = left, wide
+            ids[t, :m] = x
+            model.learn(x, guessed == x, which)
+            two, one = one, x.astype(np.int64)
+            now = np.flatnonzero(wide < BOTTOM)
+            while len(now):
+                at = used[now]
+                value = code[now] * WORD
+                value += words[at]
+                code[now] = value
+                used[now] = at + 1
+                value = width[now] * WORD
+                width[now] = value
+                now = now[value < BOTTOM]
+    ids = np.ascontiguousarray(ids.T)
+    return [ids[k, :n].astype(np.uint32) for k, n in enumerate(lengths.tolist())]
