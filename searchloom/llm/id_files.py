@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -137,16 +138,29 @@ def digest(docs: DataFrame) -> DataFrame:
     write_ids(docs, path)
     pieces = read_ids(docs.sparkSession, path)
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            checks = [zlib.crc32(x) for x in batch.column(3).to_pylist()]
+            ids, totals = batch.column(6).to_pylist(), batch.column(4).to_pylist()
+            whole = [len(x) == 4 * n for x, n in zip(ids, totals, strict=True)]
+            checks = pa.array([zlib.crc32(x) if yes else None for x, yes in zip(ids, whole, strict=True)], pa.int64())
+            rest = pa.array([None if yes else x for x, yes in zip(ids, whole, strict=True)], pa.binary())
+            yield pa.record_batch([*batch.columns[:6], checks, rest], [*names, "place", "ids_crc32", "ids"])
+
+    def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            checks = batch.column(3).to_pylist()
+            for k, parts in enumerate(batch.column(4).to_pylist()):
+                if checks[k] is None:
+                    checks[k] = reduce(lambda check, x: zlib.crc32(x["ids"], check), parts, 0)
             yield pa.record_batch([*batch.columns[:3], pa.array(checks, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    columns = ["doc_id", "start", "n_tokens", "ids"]
-    whole = pieces.where(F.length("ids") == 4 * F.col("n_tokens")).select(columns)
-    parts = pieces.where(F.length("ids") < 4 * F.col("n_tokens")).groupBy("part", "nth", "doc_id", "start", "n_tokens").agg(
-        F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("all")
+    names = ["doc_id", "part", "nth", "start", "n_tokens"]  # files are decoded once: whole documents go along without their ids
+    documents = pieces.mapInArrow(
+        begun, "doc_id long, part int, nth int, start long, n_tokens long, place long, ids_crc32 long, ids binary"
+    ).groupBy(names).agg(
+        F.max("ids_crc32").alias("ids_crc32"),
+        F.array_sort(F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("place", "ids")))).alias("parts"),
+    )
+    return documents.select("doc_id", "start", "n_tokens", "ids_crc32", "parts").mapInArrow(
+        ended, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
-    joined = parts.select("doc_id", "start", "n_tokens", F.aggregate(
-        "all", F.lit(b"").cast("binary"), lambda data, x: F.concat(data, x["ids"])).alias("ids"))
-    return whole.unionByName(joined).mapInArrow(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -280,6 +281,32 @@ def test_coder_round_trip_and_damage():
         id_coder.decode([bytes(broken)], 49408)
 
 
+def test_id_files_are_decoded_once(docs):
+    plan = id_files.digest(docs)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"MapInArrow open_\(", plan)) == 1
+
+
+def test_coder_on_long_blocks_and_many():
+    dice = np.random.default_rng(6)
+    blocks = [dice.integers(0, 3, 40_000).astype(np.uint32), dice.integers(0, 1 << 20, 3000).astype(np.uint32)]
+    blocks += [(dice.zipf(1.2, n) % 5000).astype(np.uint32) for n in dice.integers(0, 400, 1500)]
+    found = id_coder.decode(id_coder.encode(blocks, 1 << 20), 1 << 20)
+    assert all(a.tolist() == b.tolist() for a, b in zip(blocks, found, strict=True))
+    with pytest.raises(ValueError):
+        id_coder.encode(blocks, (1 << 20) + 1)
+
+
+def test_coder_takes_few_steps_an_id():
+    dice = np.random.default_rng(8)
+    blocks = [(dice.zipf(1.3, 700) % 49408).astype(np.uint32) for _ in range(768)]
+    took = []
+    for _ in range(3):
+        began = time.process_time()
+        id_coder.decode(id_coder.encode(blocks, 49408), 49408)
+        took.append((time.process_time() - began) / sum(map(len, blocks)))
+    assert min(took) < 5e-6  # the older coder took some 10
+
+
 def line_keys(text):
     return [lower(line.strip(WHITE)) for line in (text or "").split("\n")]
 
